@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeq.operators import history, orphans, parse_failures
+from lakeq.operators import feed_drift, history, orphans, parse_failures, timestamps
 from lakeq.session import table
 
 CUSTOMER_ATTRIBUTES = [
@@ -84,6 +84,60 @@ _P2_ROWS = " UNION ALL ".join(
 )
 
 
+# -- 3: schemas that drift between files ---------------------------------------------------------------
+
+
+def _drift(spark: SparkSession, d: str) -> feed_drift.Drift:
+    return feed_drift.Drift(table(spark, d, "feed_records"), table(spark, d, "feed_schema"))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return _drift(spark, d).changes().select("file_name", "change_kind", "field_name", "candidate_field").distinct()
+
+
+def p3_change_log(spark: SparkSession, d: str) -> DataFrame:
+    """Every change, with the file's place in its channel."""
+    return _drift(spark, d).changes()
+
+
+def p3_union_schema(spark: SparkSession, d: str) -> DataFrame:
+    return _drift(spark, d).union_schema()
+
+
+def p3_table(source: str):
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        return _drift(spark, d).table(source)
+
+    return query
+
+
+# -- 4: mixed timestamp formats and time zones ---------------------------------------------------------
+
+
+def _stamped(spark: SparkSession, d: str) -> DataFrame:
+    trade = timestamps.source_rows(table(spark, d, "trade"), "trade", "trade_dts", "instant")
+    return trade.unionByName(timestamps.source_rows(table(spark, d, "daily_market"), "daily_market", "dm_date", "date"))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    spelled = timestamps.normalise_spelled(_stamped(spark, d), table(spark, d, "feed_zones"))
+    return spelled.filter("norm <> text").select("src_table", "rec_id", "norm").distinct()
+
+
+def p4_formats(spark: SparkSession, d: str) -> DataFrame:
+    """Rows per table and format read, the unreadable ones under null."""
+    return timestamps.normalise(_stamped(spark, d), table(spark, d, "feed_zones")).groupBy("src_table", "fmt").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("norm").alias("read"), F.min("norm").alias("first_norm"), F.max("norm").alias("last_norm")
+    )
+
+
+def p4_unregistered(spark: SparkSession, d: str) -> DataFrame:
+    """The order of day and month as the path finds it where no feed registers one."""
+    zones = table(spark, d, "feed_zones").withColumn("day_first", F.lit(None).cast("boolean"))
+    read = timestamps.normalise_spelled(_stamped(spark, d), zones).filter("fmt IN ('day/month', 'month/day')")
+    return read.groupBy("src_table", "fmt").agg(F.count(F.lit(1)).alias("rows"))
+
+
 # -- 5: history of changing entity attributes ----------------------------------------------------------
 
 
@@ -144,6 +198,17 @@ QUERIES = {
     "p1_error_counts": p1_error_counts,
     "p2_found": p2_found,
     "p2_report": p2_report,
+    "p3_found": p3_found,
+    "p3_change_log": p3_change_log,
+    "p3_union_schema": p3_union_schema,
+    "p3_table_trade": p3_table("trade"),
+    "p3_table_daily_market": p3_table("daily_market"),
+    "p3_table_cash_transaction": p3_table("cash_transaction"),
+    "p3_table_holding_history": p3_table("holding_history"),
+    "p3_table_account_update": p3_table("account_update"),
+    "p4_found": p4_found,
+    "p4_formats": p4_formats,
+    "p4_unregistered": p4_unregistered,
     "p5_found": p5_found,
     "p5_current": p5_current,
 }
