@@ -1,11 +1,11 @@
-"""Queries of the text problems (p6-p8)."""
+"""Queries of the text problems (p6-p8). Their tests are brute-force and round-trip; SQL covers the copy checks."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeq.llm import canonical
+from lakeq.llm import canonical, leakage, mixing
 from lakeq.session import table
 
 
@@ -23,6 +23,38 @@ def p8_classes(spark: SparkSession, d: str) -> DataFrame:
     return canonical.lookalike_classes(table(spark, d, "documents"))
 
 
-QUERIES = {"p8_found": p8_found, "p8_forms": p8_forms, "p8_classes": p8_classes}
+def _leaks(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return _leaks(spark, d).filter(F.col("exact_words") >= leakage.SPAN).select("doc_id", "item_id")
+
+
+def p6_overlaps(spark: SparkSession, d: str) -> DataFrame:
+    """All verified overlaps, those with substituted words included."""
+    return _leaks(spark, d).filter(F.col("overlap_words") >= leakage.SPAN)
+
+
+def p7_draw(spark: SparkSession, d: str) -> DataFrame:
+    """Copies of every drawn document per mix."""
+    return mixing.draw(table(spark, d, "mix_targets"), table(spark, d, "documents"))[0]
+
+
+def p7_report(spark: SparkSession, d: str) -> DataFrame:
+    """Shares reached per mix and source, with any shortfall."""
+    return mixing.draw(table(spark, d, "mix_targets"), table(spark, d, "documents"))[1]
+
+
+QUERIES = {
+    "p6_found": p6_found,
+    "p6_overlaps": p6_overlaps,
+    "p7_draw": p7_draw,
+    "p7_report": p7_report,
+    "p8_found": p8_found,
+    "p8_forms": p8_forms,
+    "p8_classes": p8_classes,
+}
+
+#: The text queries have no SQL: their steps can't be said in it.
 ORACLE: dict[str, str] = {}
