@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeq.plans import problems
+from lakeq.plans import core, problems
 
-MODULES = [problems]
+MODULES = [core, problems]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,4 +20,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
-    return problems.p2_report(spark, d)
+    return core.gold_windowed_events(spark, d)
