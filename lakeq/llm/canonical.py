@@ -30,6 +30,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeq.session import cut
 
@@ -114,7 +115,7 @@ def _stretch() -> str:
     return f"(?s).?(?:(?![\\x00-\\x7F]){mapping()[1]})+"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def recompose(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Canonical order of combining marks by class, then canonical composition (no built-in does either)."""
     for part in texts:
