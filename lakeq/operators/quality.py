@@ -17,11 +17,11 @@ def missing_ratio(df: DataFrame, required: list[str]) -> Column:
     return F.coalesce(F.try_divide(cells, F.count(F.lit(1)) * len(required)), F.lit(0.0))
 
 
-def null_profile(df: DataFrame) -> DataFrame:
-    """column_name, nulls, ratio (4 places) of the columns with blanks: one pass, then unpivoted."""
+def null_profile(df: DataFrame, places: int = 4) -> DataFrame:
+    """column_name, nulls, ratio of the columns with blanks: one pass, then unpivoted."""
     counts = df.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(is_blank(F.col(f"`{c}`"))).alias(f"c{i}") for i, c in enumerate(df.columns)])
     rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}").alias("nulls")) for i, c in enumerate(df.columns)])
-    return counts.select("n", F.inline(rows)).filter("nulls > 0").select("column_name", "nulls", F.bround(F.col("nulls") / F.col("n"), 4).alias("ratio"))
+    return counts.select("n", F.inline(rows)).filter("nulls > 0").select("column_name", "nulls", F.bround(F.col("nulls") / F.col("n"), places).alias("ratio"))
 
 
 def duplicate_summary(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -38,10 +38,10 @@ def freshness(timestamp: Column, reference: Column, max_age_hours: float) -> Col
     return F.coalesce(F.try_divide(F.count_if(age <= max_age_hours), F.count(F.lit(1))), F.lit(0.0))
 
 
-def readiness(missing: Column, duplicates: Column, schema_valid: Column, fresh: Column) -> Column:
-    """Weighted score of the four measures within 0 and 1, 4 places."""
+def readiness(missing: Column, duplicates: Column, schema_valid: Column, fresh: Column, places: int = 4) -> Column:
+    """Weighted score of the four measures within 0 and 1."""
     score = 0.30 * (1 - missing) + 0.20 * (1 - duplicates) + 0.30 * schema_valid.cast("double") + 0.20 * fresh
-    return F.bround(F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)), 4)
+    return F.bround(F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)), places)
 
 
 def threshold_violations(missing: Column, duplicates: Column, fresh: Column, schema_valid: Column, max_missing: float, max_duplicates: float, min_fresh: float) -> Column:

@@ -87,10 +87,10 @@ def missing_ratio(spark: SparkSession, d: str) -> DataFrame:
         f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL OR trim(CAST({c} AS VARCHAR)) = '') AS nulls FROM trade"
         for c in "rec_id trade_id trade_dts status ttype is_cash s_symbol trade_quantity trade_price execution_id execution_broker_id cash_amount fee commission tax feed_code batchid".split()
     )
-    + ") SELECT column_name, nulls, round_even(nulls / CAST(n AS DOUBLE), 4) AS ratio FROM c, n WHERE nulls > 0"
+    + ") SELECT column_name, nulls, round_even(nulls / CAST(n AS DOUBLE), 10) AS ratio FROM c, n WHERE nulls > 0"
 )
 def null_profile(spark: SparkSession, d: str) -> DataFrame:
-    return quality.null_profile(table(spark, d, "trade"))
+    return quality.null_profile(table(spark, d, "trade"), places=10)
 
 
 @query(
@@ -126,10 +126,10 @@ def _measures(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"WITH {_MEASURES} SELECT batchid, records, round_even(greatest(0.0, least(1.0, CAST(0.30 AS DOUBLE) * (1 - missing) + CAST(0.20 AS DOUBLE) * (1 - duplicates) + CAST(0.30 AS DOUBLE) * 1.0::DOUBLE + CAST(0.20 AS DOUBLE) * fresh)), 4) AS readiness FROM m"
+    f"WITH {_MEASURES} SELECT batchid, records, round_even(greatest(0.0, least(1.0, CAST(0.30 AS DOUBLE) * (1 - missing) + CAST(0.20 AS DOUBLE) * (1 - duplicates) + CAST(0.30 AS DOUBLE) * 1.0::DOUBLE + CAST(0.20 AS DOUBLE) * fresh)), 10) AS readiness FROM m"
 )
 def readiness_score(spark: SparkSession, d: str) -> DataFrame:
-    score = quality.readiness(F.col("missing"), F.col("duplicates"), F.lit(True), F.col("fresh"))
+    score = quality.readiness(F.col("missing"), F.col("duplicates"), F.lit(True), F.col("fresh"), places=10)
     return _measures(spark, d).select("batchid", "records", score.alias("readiness"))
 
 
@@ -380,10 +380,10 @@ def rolling_outliers(spark: SparkSession, d: str) -> DataFrame:
 _FENCES = "f AS (SELECT l_returnflag, quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem GROUP BY l_returnflag)"
 
 
-@query(f"WITH {_FENCES} SELECT l_returnflag, round(q1, 4) AS q1, round(q3, 4) AS q3, round(q1 - 1.5 * (q3 - q1), 4) AS low, round(q3 + 1.5 * (q3 - q1), 4) AS high FROM f")
+@query(f"WITH {_FENCES} SELECT l_returnflag, round(q1, 6) AS q1, round(q3, 6) AS q3, round(q1 - 1.5 * (q3 - q1), 6) AS low, round(q3 + 1.5 * (q3 - q1), 6) AS high FROM f")
 def iqr_fences(spark: SparkSession, d: str) -> DataFrame:
     fences = windows.quartile_fences(table(spark, d, "lineitem"), ["l_returnflag"], "l_extendedprice")
-    return fences.select("l_returnflag", *[F.round(c, 4).alias(c) for c in ("q1", "q3", "low", "high")])
+    return fences.select("l_returnflag", *[F.round(c, 6).alias(c) for c in ("q1", "q3", "low", "high")])
 
 
 @query(

@@ -23,7 +23,7 @@ def delimited_lines(spark: SparkSession, paths: str | list[str], encoding: str =
 
 def quoted_records(spark: SparkSession, paths: str | list[str], delimiter: str) -> DataFrame:
     """source_file, record_number, line: records that may hold line breaks in quotes. A file is read by one task."""
-    files = spark.read.option("wholetext", True).text(paths).select(F.col("_metadata.file_path").alias("source_file"), "value")
+    files = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("source_file"), "value")
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -165,7 +165,7 @@ def extract_records(payload: object) -> list:
 
 def json_documents(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """source_file, record (JSON text) of whole JSON documents, a row per record."""
-    files = spark.read.option("wholetext", True).text(paths).select(F.col("_metadata.file_path").alias("source_file"), "value")
+    files = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("source_file"), "value")
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
