@@ -216,7 +216,7 @@ _INT = "'^[+-]?[0-9]+$'"
 
 @query(
     "WITH t AS (SELECT line_id, string_split(raw_line, '|') AS f FROM raw_lines WHERE source_name = 'holding_history' AND delimiter = '|')"
-    f" SELECT line_id, len(list_filter(f[1:4], lambda x: trim(x) <> '' AND NOT regexp_matches(trim(x), {_INT}))) AS bad_fields FROM t WHERE len(f) = 4"
+    f" SELECT line_id, len(list_filter(f[1:4], lambda x: trim(x) <> '' AND (NOT regexp_matches(trim(x), {_INT}) OR TRY_CAST(trim(x) AS BIGINT) IS NULL))) AS bad_fields FROM t WHERE len(f) = 4"
 )
 def coercion_errors(spark: SparkSession, d: str) -> DataFrame:
     lines = table(spark, d, "raw_lines").filter("source_name = 'holding_history' AND delimiter = '|'").withColumn("f", F.split("raw_line", r"\|", -1)).filter(F.size("f") == 4)
