@@ -85,13 +85,24 @@ def mapping() -> tuple[dict[str, str], str]:
         joins = ud.combining(char) or 0x1160 < code < 0x1200 or char in _second_starters()
         if joins or ud.normalize("NFC", to) != char:
             unsafe.append(code)
-    spans, start = [], None
-    for at, code in enumerate(unsafe):
-        start = code if start is None else start
-        if at + 1 == len(unsafe) or unsafe[at + 1] != code + 1:
-            spans.append(f"\\x{{{start:X}}}" + (f"-\\x{{{code:X}}}" if code > start else ""))
-            start = None
-    return changes, "[" + "".join(spans) + "]"
+    return changes, _regex_class(unsafe)
+
+
+#: Categories that are tested as such and not listed; none holds an ASCII letter.
+_PROPERTIES = ("Cf", "Mn", "Mc", "Me")
+#: Below this code point the class is exact; above, spans with gaps up to ``_GAP`` are merged, which only explodes more.
+_EXACT, _GAP = 0x590, 64
+
+
+def _regex_class(unsafe: list[int]) -> str:
+    """A regex for one of ``unsafe``, by few spans. ASCII is ruled out first, which most letters are."""
+    spans: list[list[int]] = []
+    for code in (c for c in unsafe if ud.category(chr(c)) not in _PROPERTIES):
+        if spans and code - spans[-1][1] <= (1 if code < _EXACT else _GAP):
+            spans[-1][1] = code
+        else:
+            spans.append([code, code])
+    return "(?:(?![\\x00-\\x7F])[" + "".join(f"\\x{{{low:X}}}-\\x{{{high:X}}}" for low, high in spans) + "\\p{M}\\p{Cf}])"
 
 
 @functools.cache
@@ -111,8 +122,8 @@ def mapping_table(spark: SparkSession) -> DataFrame:
 
 
 def _stretch() -> str:
-    """A run of code points to map, with the one before it. ASCII is ruled out first, which most letters are."""
-    return f"(?s).?(?:(?![\\x00-\\x7F]){mapping()[1]})+"
+    """A run of code points to map, with the one before it."""
+    return f"(?s).?{mapping()[1]}+"
 
 
 @F.pandas_udf(T.StringType())
@@ -135,7 +146,7 @@ def canonical_form(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """id, text_key, form for every distinct (id, text) of ``docs``."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col), F.col(text_col).alias("text"))
-    touched = F.coalesce(F.col("text").rlike(_stretch()), F.lit(False))
+    touched = F.coalesce(F.col("text").rlike(mapping()[1]), F.lit(False))
     plain = texts.filter(~touched).select(id_col, text_key(F.col("text")).alias("text_key"), F.col("text").alias("form"))
     odd = texts.filter(touched).withColumn("text_key", text_key(F.col("text"))).dropDuplicates([id_col, "text_key"])
     between = F.split("text", _stretch(), -1)
