@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeq.session import bounded_rows, cut
+from lakeq.session import bounded_rows, cut, small_side
 
 FILE = ["source_name", "channel", "file_seq", "file_name"]
 #: Registered fields are metadata; more are refused.
@@ -200,6 +200,7 @@ def rename_evidence(records: DataFrame, files: DataFrame, suspects: DataFrame, s
     keyed = records.join(files, FILE).select("source_name", "channel", "place", record_key(schema_rows).alias("record_key"), "payload").filter("record_key IS NOT NULL")
     once = keyed.groupBy("source_name", "channel", "place", "record_key").agg(F.min("payload").alias("payload"))
     places = suspects.select("channel", "place").distinct()
+    places = small_side(cut(places))
     new = once.join(places, ["channel", "place"], "left_semi").withColumnRenamed("payload", "new")
     old = once.withColumn("place", F.col("place") + 1).join(places, ["channel", "place"], "left_semi").withColumnRenamed("payload", "old")
     both = new.join(old, ["source_name", "channel", "place", "record_key"]).select("source_name", "channel", "place", "old", "new")
@@ -262,7 +263,9 @@ class Drift:
         self.schema = schema.select("source_name", "field_name", "field_type", F.coalesce("is_key", F.lit(False)).alias("is_key")).filter("source_name IS NOT NULL AND field_name IS NOT NULL").distinct()
         self.schema_rows = bounded_rows(self.schema, MAX_FIELDS, "feed_schema")
         self.files = cut(ranked_files(self.records))
-        self.facts = cut(file_facts(self.records).join(self.files, FILE))
+        # records meet the list of files without moving, so that one file may hold most of them
+        self.near_files = small_side(self.files)
+        self.facts = cut(file_facts(self.records).join(self.near_files, FILE))
         fields = F.broadcast(self.schema.withColumnRenamed("field_name", "field"))
         expected = self.files.join(fields, "source_name")
         self.expected = expected
@@ -274,7 +277,7 @@ class Drift:
             .select("channel", "place", F.col("field").alias("candidate"))
         )
         suspects = self.missing.join(self.extra, ["channel", "place"], "left_semi")
-        evidence = cut(rename_evidence(self.records, self.files, suspects, self.schema_rows))
+        evidence = cut(rename_evidence(self.records, self.near_files, suspects, self.schema_rows))
         self.renames = renames(evidence, self.missing, self.extra)
 
     def under(self) -> DataFrame:
@@ -309,7 +312,7 @@ class Drift:
         """rec_id, file_name and the registered fields of one source, cast to the union schema."""
         types = bounded_rows(self.union_schema().filter(F.col("source_name") == source), MAX_FIELDS, "the union schema")
         used = self.files.join(self.renames, ["channel", "place"]).groupBy(*FILE).agg(F.map_from_entries(F.collect_set(F.struct("field", "candidate"))).alias("used"))
-        rows = self.records.filter(F.col("source_name") == source).join(used, FILE, "left")
+        rows = self.records.filter(F.col("source_name") == source).join(small_side(cut(used)), FILE, "left")
         columns = []
         for r in sorted(types, key=lambda r: r["field_name"]):
             name = r["field_name"]

@@ -586,8 +586,8 @@ def late_data_split(spark: SparkSession, d: str) -> DataFrame:
 def watermark_gap(spark: SparkSession, d: str) -> DataFrame:
     events = table(spark, d, "events")
     marks = governance.watermarks(events, "event_type", "ts")
-    now = F.broadcast(events.agg(F.max("ts").alias("now")))
-    return governance.gaps(marks.join(now, F.lit(True)), F.col("now")).drop("now")
+    now = events.agg(F.max("ts").cast("string")).first()[0]
+    return governance.gaps(marks, F.lit(now).cast("timestamp"))
 
 
 @query(

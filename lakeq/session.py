@@ -66,6 +66,15 @@ def bounded_rows(df: DataFrame, limit: int, what: str) -> list:
     return rows
 
 
+#: Rows of a few narrow columns that may be broadcast, some 100 MB at most.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``df`` (cheap to count: a cut table or metadata) with a broadcast hint if its counted rows allow, else without."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
 def with_defaults(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Only the named columns, the missing ones as typed nulls: extra or clashing columns do no harm."""
     have = {c.lower(): c for c in df.columns}

@@ -43,7 +43,7 @@ def numbered_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     )
     sizes = lines.groupBy("source_file", "_split").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.partitionBy("source_file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return lines.join(F.broadcast(before.select("source_file", "_split", "_first", "_before")), ["source_file", "_split"]).select(
+    return lines.join(before.select("source_file", "_split", "_first", "_before"), ["source_file", "_split"]).select(
         "source_file", (F.col("_before") + F.col("_at") - F.col("_first") + 1).alias("record_number"), "line"
     )
 
