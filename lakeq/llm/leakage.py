@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeq.llm.canonical import canonical_form
-from lakeq.session import cut
+from lakeq.session import cut, small_side
 
 #: Words that a mask covers.
 SPAN = 12
@@ -34,6 +34,8 @@ MASKS = tuple(tuple(o for o in range(SPAN) if o % 3 != third) for third in range
 WORD = r"[\p{L}\p{N}]+"
 #: Evaluation seeds up to this number are broadcast (about 40 bytes each).
 MAX_BROADCAST_SEEDS = 2_000_000
+#: Ids of documents with hits up to this number are broadcast; more are joined by a shuffle.
+MAX_BROADCAST_IDS = 1_000_000
 
 
 def words(form: Column) -> Column:
@@ -59,9 +61,7 @@ def seeds(worded: DataFrame, id_col: str) -> DataFrame:
 
 def hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id") -> DataFrame:
     """doc_id, item_id, doc_at, item_at, masks: places whose masked words are equal. Inputs: id, words."""
-    item_seeds = cut(seeds(items, item_id).select(item_id, F.col("at").alias("item_at"), "mask", "seed").distinct())
-    if item_seeds.count() <= MAX_BROADCAST_SEEDS:
-        item_seeds = F.broadcast(item_seeds)
+    item_seeds = small_side(cut(seeds(items, item_id).select(item_id, F.col("at").alias("item_at"), "mask", "seed").distinct()), MAX_BROADCAST_SEEDS)
     found = seeds(docs, doc_id).withColumnRenamed("at", "doc_at").join(item_seeds, ["mask", "seed"])
     return found.groupBy(doc_id, item_id, "doc_at", "item_at").agg(F.count_distinct("mask").alias("masks"))
 
@@ -113,7 +113,8 @@ def leaks(documents: DataFrame, items: DataFrame, tolerance: int = 1) -> DataFra
         .groupBy("doc_id", "item_id")
         .agg(F.collect_set(F.col("doc_at") - F.col("item_at")).alias("diagonals"))
     )
-    again = with_words(documents.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi"), "doc_id", "text")
+    hit = small_side(cut(pairs.select("doc_id").distinct()), MAX_BROADCAST_IDS)
+    again = with_words(documents.join(hit, "doc_id", "left_semi"), "doc_id", "text")
     both = pairs.join(again.withColumnRenamed("words", "doc_words"), "doc_id").join(item_words.withColumnRenamed("words", "item_words"), "item_id")
     kind = documents.schema["doc_id"].dataType.simpleString()
     item_kind = items.schema["item_id"].dataType.simpleString()

@@ -75,6 +75,7 @@ def test_shuffled_seeds_give_the_same(spark, monkeypatch):
     item = " ".join(f"q{n}" for n in range(14))
     before = set(found(spark, [item, "x"], [item]))
     monkeypatch.setattr(leakage, "MAX_BROADCAST_SEEDS", 0)
+    monkeypatch.setattr(leakage, "MAX_BROADCAST_IDS", 0)
     assert set(found(spark, [item, "x"], [item])) == before == {(0, 0)}
 
 
