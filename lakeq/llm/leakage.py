@@ -50,12 +50,18 @@ def with_words(texts: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def seeds(worded: DataFrame, id_col: str) -> DataFrame:
-    """id, at, mask, seed: the masked hash of every window of ``SPAN`` words."""
+    """id, at, mask, seed: the masked hash of every window of ``SPAN`` words.
+
+    The words of one third of a window (every third word) are hashed once and shared: the third that starts at
+    a window's second word is also the first third of the next window. A mask joins the two thirds it keeps.
+    """
     hashed = worded.filter(F.size("words") >= SPAN).select(id_col, F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
-    places = F.sequence(F.lit(0), F.size("h") - SPAN)
-    masked = lambda mask: lambda i: F.xxhash64(*[F.get("h", i + o) for o in mask])
-    per_mask = F.array(*[F.transform(places, masked(mask)) for mask in MASKS])
-    by_mask = hashed.select(id_col, F.posexplode(per_mask).alias("mask", "values"))
+    steps = range(0, SPAN, 3)
+    thirds = hashed.select(id_col, F.transform(F.sequence(F.lit(0), F.size("h") - SPAN + 2), lambda i: F.xxhash64(*[F.get("h", i + o) for o in steps])).alias("g"))
+    places = F.sequence(F.lit(0), F.size("g") - 3)
+    kept = [[o for o in range(3) if o in mask] for mask in MASKS]
+    masked = lambda pair: lambda i: F.xxhash64(*[F.get("g", i + o) for o in pair])
+    by_mask = thirds.select(id_col, F.posexplode(F.array(*[F.transform(places, masked(pair)) for pair in kept])).alias("mask", "values"))
     return by_mask.select(id_col, "mask", F.posexplode("values").alias("at", "seed"))
 
 
