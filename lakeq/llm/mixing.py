@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from lakeq.session import cut
+from lakeq.session import cut, small_side
 
 DEFAULT_RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the split pattern that belongs to the vocabulary file.
@@ -80,19 +80,18 @@ def keyed(docs: DataFrame, seed: int) -> DataFrame:
 def plan(targets: DataFrame, docs: DataFrame, total: int | None = None) -> DataFrame:
     """mix_name, source, target_share, max_repeats, target_tokens, source_tokens, epochs, rest."""
     sizes = docs.groupBy("source").agg(F.sum("tokens").alias("source_tokens"))
-    whole = docs.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("all_tokens")) if total is None else docs.sparkSession.createDataFrame([(total,)], "all_tokens long")
+    if total is None:
+        total = docs.agg(F.sum("tokens")).first()[0] or 0
     wanted = targets.groupBy("mix_name", "source").agg(
         F.sum(F.greatest(F.coalesce("target_share", F.lit(0.0)), F.lit(0.0))).alias("target_share"),
         F.min(F.greatest(F.coalesce("max_repeats", F.lit(0)), F.lit(0))).alias("max_repeats"),
     )
-    # one row of totals beside each target
-    sized = wanted.join(sizes, "source", "left").join(F.broadcast(whole), F.lit(True))
+    sized = wanted.join(sizes, "source", "left")
     return (
         sized.withColumn("source_tokens", F.coalesce("source_tokens", F.lit(0)))
-        .withColumn("target_tokens", F.floor(F.col("target_share") * F.col("all_tokens") + F.lit(1e-6)))
+        .withColumn("target_tokens", F.floor(F.col("target_share") * F.lit(total) + F.lit(1e-6)))
         .withColumn("epochs", F.least("max_repeats", F.coalesce(F.floor(F.try_divide("target_tokens", "source_tokens")), F.lit(0))))
         .withColumn("rest", F.when(F.col("epochs") < F.col("max_repeats"), F.col("target_tokens") - F.col("epochs") * F.col("source_tokens")).otherwise(0))
-        .drop("all_tokens")
     )
 
 
@@ -108,7 +107,7 @@ def draw(targets: DataFrame, documents: DataFrame, seed: int = 42, total: int |
         F.max_by("bucket", "before").alias("cut_bucket"), F.max("before").alias("cut_before")
     )
     goals_cut = goals.select("mix_name", "source", "max_repeats", "epochs", "rest").join(cuts, ["mix_name", "source"], "left")
-    pool = docs.filter("tokens > 0 AND source IS NOT NULL").join(F.broadcast(goals_cut), "source")
+    pool = docs.filter("tokens > 0 AND source IS NOT NULL").join(small_side(cut(goals_cut)), "source")
     clear = pool.filter("cut_bucket IS NULL OR bucket <> cut_bucket").withColumn("extra", F.when(F.col("bucket") < F.col("cut_bucket"), 1).otherwise(0))
     inner = Window.partitionBy("mix_name", "source").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
     edge = pool.filter("bucket = cut_bucket").withColumn("extra", F.when(F.col("cut_before") + F.sum("tokens").over(inner) <= F.col("rest"), 1).otherwise(0))
