@@ -18,8 +18,11 @@ from lakeq.session import bounded_rows
 DAY = 86_400_000_000
 #: Feeds are metadata; more are refused.
 MAX_FEEDS = 100_000
-#: Prior cost of a reading that a feed's registration or the plain sense of digits speaks against.
-AGAINST = 1000.0
+#: Cost of another order of day and month than the source's slash dates had before, and of a step back in time.
+SWITCH, BACKWARD = 4.0, 1.0
+#: Prior cost of a reading that a feed's registration, the plain sense of digits or the rule for a repeated local
+#: hour speaks against: more than the two transitions of a record can save, so such a rule holds where it speaks.
+AGAINST = 16.0
 NORMAL_INSTANT = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{6}Z$"
 NORMAL_DATE = r"^\d{4}-\d{2}-\d{2}$"
 
@@ -81,9 +84,18 @@ def to_local(instant: Column, zone: Column) -> Column:
     return F.unix_micros(F.from_utc_timestamp(F.timestamp_micros(instant), zone))
 
 
-def with_readings(rows: DataFrame, text: str = "text", out: str = "readings") -> DataFrame:
+def second_instant(first: Column, local: Column, zone: Column) -> Column:
+    """The later instant of a local time that occurs twice, else null."""
+    later = first + 3 * 3_600_000_000
+    other = local - (to_local(later, zone) - later)
+    return F.when((other > first) & (to_local(other, zone) == local), other)
+
+
+def with_readings(rows: DataFrame, text: str = "text", out: str = "readings", folds: Column | None = None) -> DataFrame:
     """Adds array<READING> of the valid interpretations of ``text``; rows also hold zone_name, day_first, abbreviations.
 
+    ``folds``: where a local time that occurs twice has both readings (everywhere, unless said).
+
     ``instant`` in UTC microseconds; ``day`` the calendar date as days since 1970 (as written, or in the
     feed's zone where the text names an instant); ``prior`` the cost of the reading by itself. Each step is a
     projection of its own, so that shared parts are computed once and the expressions stay small.
@@ -106,11 +118,20 @@ def with_readings(rows: DataFrame, text: str = "text", out: str = "readings") ->
         F.transform(
             "_local",
             lambda w: F.struct(
-                w["fmt"].alias("fmt"), w["day"].alias("day"), w["prior"].alias("prior"),
+                w["fmt"].alias("fmt"), w["day"].alias("day"), w["prior"].alias("prior"), w["local"].alias("local"),
                 F.when(z["offset"].isNotNull(), w["local"] - z["offset"].cast("bigint") * 60_000_000).otherwise(to_instant(w["local"], z["region"])).alias("instant"),
             ),
         ),
     )
+    again = F.transform(
+        F.filter("_timed", lambda w: w["instant"].isNotNull()),
+        lambda w: F.struct(
+            w["fmt"].alias("fmt"), w["day"].alias("day"), (w["prior"] + AGAINST).alias("prior"), w["local"].alias("local"),
+            second_instant(w["instant"], w["local"], z["region"]).alias("instant"),
+        ),
+    )
+    twice = z["offset"].isNull() & z["region"].isNotNull() & (F.lit(True) if folds is None else folds)
+    timed = timed.withColumn("_again", F.when(twice, again)).withColumn("_timed", F.when(F.col("_again").isNull(), F.col("_timed")).otherwise(F.concat("_timed", "_again"))).drop("_again")
     from_parts = F.transform(
         "_timed", lambda w: _reading(w["fmt"], w["instant"], F.when(z["named"], F.floor(to_local(w["instant"], F.col("zone_name")) / DAY)).otherwise(w["day"]), w["prior"])
     )

@@ -131,11 +131,26 @@ def p4_formats(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _hidden_orders(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(slash dates as the path reads them where no feed registers an order, feeds with their order)."""
+    zones = table(spark, d, "feed_zones")
+    hidden = zones.withColumn("day_first", F.lit(None).cast("boolean"))
+    read = timestamps.normalise_spelled(_stamped(spark, d), hidden).filter("fmt IN ('day/month', 'month/day')")
+    return read, zones.select(F.col("feed_code").alias("feed"), "day_first").distinct()
+
+
 def p4_unregistered(spark: SparkSession, d: str) -> DataFrame:
     """The order of day and month as the path finds it where no feed registers one."""
-    zones = table(spark, d, "feed_zones").withColumn("day_first", F.lit(None).cast("boolean"))
-    read = timestamps.normalise_spelled(_stamped(spark, d), zones).filter("fmt IN ('day/month', 'month/day')")
-    return read.groupBy("src_table", "fmt").agg(F.count(F.lit(1)).alias("rows"))
+    return _hidden_orders(spark, d)[0].groupBy("src_table", "fmt").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def p4_path_accuracy(spark: SparkSession, d: str) -> DataFrame:
+    """Slash dates that both orders read: how many the path reads as registered, with the registration hidden from it."""
+    read, orders = _hidden_orders(spark, d)
+    part = lambda n: F.regexp_extract("text", r"^\s*(\d{1,2})[/-](\d{1,2})", n).try_cast("int")
+    open_ = read.filter((part(1) <= 12) & (part(2) <= 12) & (part(1) != part(2))).join(F.broadcast(orders), "feed")
+    right = (F.col("fmt") == "day/month") == F.col("day_first")
+    return open_.groupBy("src_table").agg(F.count(F.lit(1)).alias("open_dates"), F.count_if(right).alias("as_registered"), (F.count_if(right) / F.count(F.lit(1))).alias("accuracy"))
 
 
 # -- 5: history of changing entity attributes ----------------------------------------------------------
@@ -209,6 +224,7 @@ QUERIES = {
     "p4_found": p4_found,
     "p4_formats": p4_formats,
     "p4_unregistered": p4_unregistered,
+    "p4_path_accuracy": p4_path_accuracy,
     "p5_found": p5_found,
     "p5_current": p5_current,
 }

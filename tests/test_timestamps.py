@@ -1,11 +1,12 @@
 import itertools
-import math
 import random
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
+from lakeq.functions import temporal
 from lakeq.operators import timestamps as ts
 from tests.conftest import rows
 
@@ -88,35 +89,99 @@ def test_order_of_records_decides_where_no_feed_is_registered(spark):
     assert [n[:10] for n in read(spark, [("NEW", t) for t in texts], "instant")] == ["2014-03-25", "2014-04-05", "2014-06-28"]
 
 
-def best_cost(formats, instants, priors):
-    low = math.inf
-    for picks in itertools.product(*[range(len(f)) for f in formats]):
-        low = min(low, cost(formats, instants, priors, picks))
-    return low
+def test_records_in_normal_form_are_part_of_the_chain(spark):
+    texts = ["2014-06-30T10:00:00.000000Z", "07/05/2014 10:00:00", "2014-07-06T10:00:00.000000Z"]
+    assert read(spark, [("NEW", t) for t in texts], "instant")[1][:10] == "2014-07-05"
+    texts = ["2014-05-06T10:00:00.000000Z", "07/05/2014 10:00:00", "2014-05-08T10:00:00.000000Z"]
+    assert read(spark, [("NEW", t) for t in texts], "instant")[1][:10] == "2014-05-07"
 
 
-def cost(formats, instants, priors, picks):
-    total = sum(priors[n][i] for n, i in enumerate(picks))
-    for n in range(1, len(picks)):
-        i, j = picks[n - 1], picks[n]
-        total += ts.SWITCH * (formats[n - 1][i] != formats[n][j]) + ts.BACKWARD * (instants[n - 1][i] > instants[n][j])
+def test_a_registered_order_outweighs_the_path(spark):
+    texts = ["2014-06-30T10:00:00.000000Z", "07/05/2014 10:00:00", "2014-07-06T10:00:00.000000Z", "25/12/2014 10:00:00"]
+    assert read(spark, [("LDN", t) for t in texts], "instant")[1][:10] == "2014-05-07"
+    assert temporal.AGAINST > 2 * (ts.SWITCH + ts.BACKWARD)
+
+
+def test_a_repeated_hour_has_two_readings(spark):
+    frame = spark.createDataFrame([("2014-11-02 01:30:00", "America/New_York", None), ("2014-11-02 03:30:00", "America/New_York", None)], "text string, zone_name string, day_first boolean")
+    got = temporal.with_readings(frame.withColumn("abbreviations", F.create_map().cast("map<string,int>"))).collect()
+    assert [[(r.instant, r.prior) for r in row.readings] for row in got] == [[(1414906200000000, 0.0), (1414909800000000, temporal.AGAINST)], [(1414917000000000, 0.0)]]
+
+
+def best_cost(records):
+    return min(cost(records, picks) for picks in itertools.product(*[range(len(r)) for r in records]))
+
+
+def cost(records, picks):
+    """Of a whole path, record by record; the order carried in at the start is free."""
+    total, order, before = 0.0, None, None
+    for readings, i in zip(records, picks):
+        fmt, t, prior = readings[i]
+        total += prior + (ts.BACKWARD if before is not None and before > t else 0.0)
+        if "/" in fmt:
+            total += ts.SWITCH if order not in (None, fmt) else 0.0
+            order = fmt
+        before = t
     return total
 
 
-@pytest.mark.parametrize("seed", range(12))
+def random_records(rng, n):
+    out = []
+    for _ in range(n):
+        kind = rng.choice(["plain", "plain", "certain", "open", "fold"])
+        t = rng.randint(0, 6)
+        if kind == "plain":
+            out.append([("iso", t, 0.0)])
+        elif kind == "certain":
+            out.append([(rng.choice(["day/month", "month/day"]), t, 0.0)])
+        elif kind == "open":
+            against = rng.choice([0.0, 0.0, 1.0, 16.0])
+            out.append([("day/month", t, 0.0), ("month/day", rng.randint(0, 6), against)])
+        else:
+            out.append([("iso", t, 0.0), ("iso", t + 1, rng.choice([0.0, 2.0]))])
+    return out
+
+
+STATES = pa.schema([
+    ("src_table", pa.string()), ("feed", pa.string()), ("block", pa.int64()), ("rec_id", pa.int64()), ("text", pa.string()), ("is_date", pa.bool_()), ("fmt", pa.string()), ("t", pa.int64()),
+    ("alts", pa.list_(pa.struct([("fmt", pa.string()), ("t", pa.int64()), ("prior", pa.float64())]))),
+])
+
+
+def as_block(records, first, block):
+    rows = []
+    for n, r in enumerate(records, first):
+        one = len(r) == 1
+        rows.append(("t", "f", block, n, "x", False, r[0][0] if one else None, r[0][1] if one else None, None if one else [dict(fmt=f, t=t, prior=p) for f, t, p in r]))
+    return pa.Table.from_pylist([dict(zip(STATES.names, row)) for row in rows], schema=STATES)
+
+
+@pytest.mark.parametrize("seed", range(40))
 def test_blocks_find_a_cheapest_path(seed):
+    """Blocks of uneven size, folded once, against every path."""
     rng = random.Random(seed)
-    size = [rng.choice([1, 2, 2, 3]) for _ in range(9)]
-    formats = [[rng.randint(0, 2) for _ in range(k)] for k in size]
-    instants = [[rng.randint(0, 5) for _ in range(k)] for k in size]
-    priors = [[rng.choice([0.0, 0.5, 2.0]) for _ in range(k)] for k in size]
-    frame = pd.DataFrame(
-        {"src_table": "t", "feed": "f", "rec_id": range(9), "text": "", "block": [n // 3 for n in range(9)], "formats": formats, "instants": instants, "priors": priors, "names": [list(map(str, range(k))) for k in size], "norms": [list(map(str, range(k))) for k in size]}
-    )
-    parts = [p for _, p in frame.groupby("block")]
-    ends = ts._chain(pd.concat([ts._summarise(p) for p in parts]))
-    picks = [int(x) for n, p in enumerate(parts) for x in ts._trace(p, ends[ends["block"] == n])["norm"]]
-    assert np.isclose(cost(formats, instants, priors, picks), best_cost(formats, instants, priors))
+    records = random_records(rng, 9)
+    cuts = sorted(rng.sample(range(1, 9), 3))
+    blocks = [as_block(records[a:b], a, n) for n, (a, b) in enumerate(zip([0, *cuts], [*cuts, 9]))]
+    nodes = [ts._summarise(b) for b in blocks]
+    above = lambda part, g: pa.concat_tables(part).append_column("above", pa.array([g] * len(part), pa.int64()))
+    groups = [above(nodes[:2], 0), above(nodes[2:], 1)]
+    top = ts._top(pa.concat_tables([ts._fold(g) for g in groups]))
+    ends = [row for n, g in enumerate(groups) for row in ts._below(g, top.slice(n, 1)).to_pylist()]
+    picked = [r for b, e in zip(blocks, ends) for r in sorted(ts._trace(b, pa.Table.from_pylist([e], schema=ts.ENDS)).to_pylist(), key=lambda r: r["rec_id"])]
+    picks = [next(i for i, x in enumerate(r) if (x[0], x[1]) == (p["fmt"], p["t"])) for r, p in zip(records, picked)]
+    assert np.isclose(cost(records, picks), best_cost(records))
+
+
+def test_many_blocks_and_one_feed_with_most_records(spark, monkeypatch):
+    """Small blocks and folds give the readings of one block; a feed holds two thirds of the records."""
+    rng = random.Random(5)
+    given = [("NEW" if rng.random() < 0.7 else "OLD", f"{rng.randint(1, 12):02d}/{rng.randint(1, 28):02d}/2014") for _ in range(300)]
+    whole = read(spark, given, "date", zones=[])
+    monkeypatch.setattr(ts, "BLOCK", 3)
+    monkeypatch.setattr(ts, "FAN", 4)
+    assert read(spark, given, "date", zones=[]) == whole
+    assert all(n[8:] != "" for n in whole)
 
 
 def test_empty(spark):
