@@ -16,11 +16,13 @@ Defined cases
 
 from __future__ import annotations
 
+import bisect
 import csv
 import datetime as dt
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,43 +69,66 @@ def _timestamp(text: str) -> None:
 CONSTRUCTORS = {"integer": _integer, "decimal": _decimal, "date": _date, "timestamp": _timestamp}
 
 
-def assemble_records(lines: Iterable[str], delimiter: str) -> Iterator[str]:
-    """Join physical lines into records: a line break inside an open quoted field belongs to the record.
+def assemble_records(text: str, delimiter: str, width: int | None = None) -> Iterator[tuple[int, str]]:
+    """(number of its first physical line, record) of a file's text.
 
-    A quote opens a field only as the field's first character. The last record may be left open.
+    A quote opens a field only as the field's first character; a line break inside it belongs to the record. A
+    record of several lines holds only if its quotes close, are followed by the delimiter or the line's end, and
+    give ``width`` fields where that is known. Otherwise its first line stands alone and the next line begins anew,
+    so that one open quote costs one line and not the rest of the file. Every quote run is looked at once.
     """
-    held: list[str] = []
-    for line in lines:
-        held.append(line)
-        if not _open_quote("\n".join(held), delimiter):
-            yield "\n".join(held)
-            held = []
-    if held:
-        yield "\n".join(held)
-
-
-def _open_quote(record: str, delimiter: str) -> bool:
-    """Whether the record ends inside a quoted field."""
-    if '"' not in record:
-        return False
-    at, end = 0, len(record)
-    while at < end:
-        if record[at] == '"':
+    delimiter = delimiter or "\x1f"
+    runs = quote_runs(text)
+    at, number = 0, 0
+    while at < len(text):
+        number += 1
+        line_end = text.find("\n", at)
+        line_end = len(text) if line_end < 0 else line_end
+        end = line_end
+        if text.find('"', at, line_end) >= 0:
+            far = record_end(text, at, delimiter, width, runs)
+            end = line_end if far is None else far
+        record = text[at:end]
+        yield number, record
+        number += record.count("\n")
+        at = end + 1
+
+
+def quote_runs(text: str) -> tuple[list[int], dict[int, int]]:
+    """(starts of the quote runs of odd length, start -> end of every run). Inside a field, an odd run closes it."""
+    ends = {m.start(): m.end() for m in re.finditer('"+', text)}
+    return [start for start, end in ends.items() if (end - start) % 2], ends
+
+
+def record_end(text: str, at: int, delimiter: str, width: int | None = None, runs: tuple[list[int], dict[int, int]] | None = None) -> int | None:
+    """Where the record that begins at ``at`` ends, None where its quoting does not hold or it has several lines but not ``width`` fields."""
+    closing, ends = runs or quote_runs(text)
+    first, fields = at, 0
+    while True:
+        fields += 1
+        if text.startswith('"', at):
+            run = ends[at]
+            if (run - at) % 2:  # the quotes behind the opening one are pairs: the field goes on to the next odd run
+                n = bisect.bisect_left(closing, run)
+                if n == len(closing):
+                    return None
+                run = ends[closing[n]]
+            at = run
+            if not (at == len(text) or text.startswith((delimiter, "\n", "\r\n"), at) or (at + 1 == len(text) and text[at] == "\r")):
+                return None
+            if width is not None and fields > width and "\n" in text[first:at]:
+                return None
+        else:
+            line_end = text.find("\n", at)
+            line_end = len(text) if line_end < 0 else line_end
+            after = text.find(delimiter, at, line_end)
+            at = line_end if after < 0 else after
+        if text.startswith("\r\n", at) or (at + 1 == len(text) and text[at] == "\r"):
             at += 1
-            while True:
-                close = record.find('"', at)
-                if close < 0:
-                    return True
-                if record.startswith('""', close):
-                    at = close + 2
-                    continue
-                at = close + 1
-                break
-        after = record.find(delimiter, at) if delimiter else -1
-        if after < 0:
-            return False
-        at = after + len(delimiter)
-    return False
+        if at == len(text) or text[at] == "\n":
+            several = "\n" in text[first:at]
+            return None if several and width is not None and fields != width else at
+        at += len(delimiter)
 
 
 def split_record(line: str, delimiter: str | None) -> list[str] | None:
@@ -119,8 +144,10 @@ def split_record(line: str, delimiter: str | None) -> list[str] | None:
         line, delimiter = line.replace(delimiter, "\x1f"), "\x1f"
     if '"' not in line:
         return line.split(delimiter)
+    if record_end(line, 0, delimiter) is None:
+        raise csv.Error("a quoted field does not close before a delimiter or the end")
     marks = {}
-    for breaker in "\n\r":  # the reader would end the record there; the record was assembled before
+    for breaker in "\n\r":  # the reader would end the record there; the record is assembled already
         if breaker in line:
             code = next(c for c in range(0xE000, 0xF8FF) if chr(c) not in line)
             marks[chr(code)] = breaker
@@ -221,3 +248,21 @@ def typed_records(judged: DataFrame, layouts: DataFrame, source: str, id_col: st
         columns.append(value.alias(name))
     good = judged.filter((F.col("source_name") == source) & F.col("_reason").isNull())
     return good.select(F.col(id_col), *columns)
+
+
+def assembled(lines: DataFrame, layouts: DataFrame, order: list[str]) -> DataFrame:
+    """source_file, source_name, delimiter, record_number, raw_line: the records of each file, from its physical lines.
+
+    ``lines`` (source_file, source_name, delimiter, line) are ordered by ``order`` in a file. A file is assembled in one
+    task; files that hold no quotes need no assembly and are better read by ``scans.delimited_lines``, which splits them.
+    """
+    widths = {s: len(cols) for s, cols in layouts_of(layouts).items()}
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(order, na_position="first", kind="stable")
+        source, delimiter = part["source_name"].iloc[0], part["delimiter"].iloc[0]
+        records = assemble_records("\n".join(part["line"].fillna("")), delimiter, widths.get(source))
+        out = pd.DataFrame(records, columns=["record_number", "raw_line"])
+        return out.assign(source_file=part["source_file"].iloc[0], source_name=source, delimiter=delimiter)
+
+    return lines.groupBy("source_file", "source_name", "delimiter").applyInPandas(run, "source_file string, source_name string, delimiter string, record_number long, raw_line string")

@@ -12,6 +12,8 @@ CUSTOMER_ATTRIBUTES = [
     "taxid", "status", "lastname", "firstname", "middleinitial", "gender", "tier", "dob", "email", "phone1", "phone2", "phone3",
     "address1", "address2", "postalcode", "city", "state_prov", "country", "c_credit_score",
 ]
+#: The sources of the raw lines.
+RAW_SOURCES = ("account_update", "cash_transaction", "daily_market", "holding_history", "hr", "prospect", "trade", "watch_history")
 ACCOUNT_ATTRIBUTES = ["status", "accountdesc", "taxstatus"]
 REFERENCES = [
     orphans.Reference("dim_account", "sk_accountid", "sk_customerid", "dim_customer", "sk_customerid"),
@@ -47,6 +49,64 @@ def p1_error_counts(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def p1_load_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Per source: records, and what becomes of them; loaded rows are counted after typing."""
+    judged, layouts = _judged(spark, d)
+    failed = judged.groupBy("source_name").agg(F.count(F.lit(1)).alias("records"), F.count("_reason").alias("failed"))
+    loaded = None
+    for source in sorted(parse_failures.layouts_of(layouts)):
+        one = parse_failures.typed_records(judged, layouts, source).agg(F.count(F.lit(1)).alias("loaded")).select(F.lit(source).alias("source_name"), "loaded")
+        loaded = one if loaded is None else loaded.unionByName(one)
+    return failed.join(loaded, "source_name", "left").select("source_name", "records", F.coalesce("loaded", F.lit(0)).alias("loaded"), "failed")
+
+
+def p1_assembled(spark: SparkSession, d: str) -> DataFrame:
+    """The files rebuilt from their physical lines: records assembled per file and judged, per source."""
+    physical = table(spark, d, "raw_lines").select(
+        "source_file", "source_name", "delimiter", "record_number", "line_id", F.posexplode(F.split("raw_line", "\n", -1)).alias("part", "line")
+    )
+    layouts = table(spark, d, "source_layouts")
+    records = parse_failures.assembled(physical, layouts, ["record_number", "line_id", "part"])
+    return parse_failures.parse_lines(records, layouts, "record_number").groupBy("source_name").agg(
+        F.count(F.lit(1)).alias("records"),
+        *[F.count_if(F.col("_reason") == r).alias(r) for r in (parse_failures.BROKEN, parse_failures.COUNT, parse_failures.VALUE)],
+    )
+
+
+#: Delimiters the SQL knows; a file with another one would show as a difference.
+_DELIMITERS = ("|", ",", ";", "\t", "~", "^", ":")
+
+
+def _lines_sql() -> str:
+    """line_id, source_name, fields (quotes kept), closed: the records by regular expressions."""
+    parts = []
+    for mark in _DELIMITERS:
+        d = {"|": "\\|", "^": "\\^"}.get(mark, mark)
+        field = f'"(?:[^"]|"")*"|[^"{d}][^{d}]*|'
+        text = f"chr({ord(mark)})"
+        parts.append(
+            f"SELECT line_id, source_name, regexp_extract_all(line || {text}, '(?s)({field}){d}', 1) AS fields, regexp_full_match(line, '(?s)(?:{field})(?:{d}(?:{field}))*') AS closed"
+            f" FROM lines WHERE delimiter = {text} AND trim(replace(line, {text}, ''), blanks) <> ''"
+        )
+    return (
+        "WITH lines AS (SELECT line_id, source_name, delimiter, chr(32)||chr(9)||chr(10)||chr(13) AS blanks, CASE WHEN ends_with(raw_line, chr(13)) THEN left(raw_line, length(raw_line) - 1) ELSE raw_line END AS line FROM raw_lines),"
+        f" records AS ({' UNION ALL '.join(parts)}),"
+        " layouts AS (SELECT source_name, list(value_type ORDER BY col_no) AS kinds FROM (SELECT DISTINCT source_name, col_no, value_type FROM source_layouts) GROUP BY source_name),"
+        " pieces AS (SELECT line_id, unnest(fields) AS raw, unnest(kinds) AS kind FROM records JOIN layouts USING (source_name) WHERE closed AND len(fields) = len(kinds)),"
+        " vals AS (SELECT line_id, kind, CASE WHEN starts_with(raw, '\"') THEN replace(raw[2:-2], '\"\"', '\"') ELSE raw END AS x, trim(x, chr(32)||chr(9)||chr(10)||chr(13)) AS t FROM pieces),"
+        " wrong AS (SELECT DISTINCT line_id FROM vals WHERE CASE WHEN kind = 'string' THEN contains(x, chr(65533)) WHEN t = '' THEN false"
+        " WHEN kind = 'integer' THEN NOT regexp_full_match(t, '[+-]?[0-9]+') OR TRY_CAST(t AS BIGINT) IS NULL"
+        " WHEN kind = 'decimal' THEN NOT regexp_full_match(t, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)')"
+        " WHEN kind = 'date' THEN NOT regexp_full_match(t, '[0-9]{4}-[0-9]{2}-[0-9]{2}') OR TRY_CAST(t AS DATE) IS NULL"
+        " ELSE NOT regexp_full_match(t, '[0-9]{4}-[0-9]{2}-[0-9]{2} ([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]') OR TRY_CAST(t AS TIMESTAMP) IS NULL END),"
+        " judged AS (SELECT r.line_id, r.source_name, CASE WHEN NOT closed THEN 'broken_quoting' WHEN len(fields) <> coalesce(len(kinds), 0) THEN 'field_count_mismatch' WHEN w.line_id IS NOT NULL THEN 'invalid_value' END AS reason"
+        " FROM records r LEFT JOIN layouts USING (source_name) LEFT JOIN wrong w ON w.line_id = r.line_id)"
+    )
+
+
+_P1_JUDGED = _lines_sql()
+
+
 # -- 2: references to records that do not exist --------------------------------------------------------
 
 
@@ -208,8 +268,9 @@ v AS (
 
 QUERIES = {
     "p1_found": p1_found,
-    "p1_typed_trade": p1_typed("trade"),
-    "p1_typed_prospect": p1_typed("prospect"),
+    **{f"p1_typed_{source}": p1_typed(source) for source in RAW_SOURCES},
+    "p1_load_counts": p1_load_counts,
+    "p1_assembled": p1_assembled,
     "p1_error_counts": p1_error_counts,
     "p2_found": p2_found,
     "p2_report": p2_report,
@@ -230,6 +291,10 @@ QUERIES = {
 }
 
 ORACLE = {
+    "p1_found": _P1_JUDGED + " SELECT DISTINCT line_id, reason FROM judged WHERE reason IS NOT NULL",
+    "p1_error_counts": _P1_JUDGED + " SELECT source_name, count(*) AS records, count(*) FILTER (reason = 'broken_quoting') AS broken_quoting,"
+    " count(*) FILTER (reason = 'field_count_mismatch') AS field_count_mismatch, count(*) FILTER (reason = 'invalid_value') AS invalid_value FROM judged GROUP BY source_name",
+    "p1_load_counts": _P1_JUDGED + " SELECT source_name, count(*) AS records, count(*) FILTER (reason IS NULL) AS loaded, count(reason) AS failed FROM judged GROUP BY source_name",
     "p2_found": f"SELECT DISTINCT child_table, child_sk, fk_column FROM ({_P2_ROWS})",
     "p2_report": "SELECT child_table, fk_column, batchid, count(*) AS orphan_rows, count(DISTINCT k) AS orphan_keys"
     f" FROM ({_P2_ROWS}) GROUP BY child_table, fk_column, batchid",

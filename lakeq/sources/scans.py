@@ -21,16 +21,17 @@ def delimited_lines(spark: SparkSession, paths: str | list[str], encoding: str =
     return spark.read.option("encoding", encoding).text(paths).select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("line"))
 
 
-def quoted_records(spark: SparkSession, paths: str | list[str], delimiter: str) -> DataFrame:
-    """source_file, record_number, line: records that may hold line breaks in quotes. A file is read by one task."""
+def quoted_records(spark: SparkSession, paths: str | list[str], delimiter: str, width: int | None = None) -> DataFrame:
+    """source_file, record_number (of the first physical line), line: records that may hold line breaks in quotes.
+
+    A file is read by one task; ``delimited_lines`` splits files without such records. ``width``: fields of a record.
+    """
     files = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("source_file"), "value")
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for file, text in zip(part["source_file"], part["value"]):
-                lines = text.removeprefix("﻿").split("\n")
-                lines = lines[:-1] if lines and lines[-1] == "" else lines
-                records = [(file, n, r) for n, r in enumerate(assemble_records(lines, delimiter), 1)]
+                records = [(file, n, r) for n, r in assemble_records(text.removeprefix("\ufeff"), delimiter, width)]
                 yield pd.DataFrame(records, columns=["source_file", "record_number", "line"])
 
     return files.mapInPandas(run, "source_file string, record_number long, line string")

@@ -1,4 +1,5 @@
 import csv
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -76,16 +77,44 @@ def test_reasons_come_in_order():
     assert pf.judge("\r", "|", KINDS) == (None, None, None)
 
 
+def assembled(lines, width=None):
+    return [r for _, r in pf.assemble_records("\n".join(lines), "|", width)]
+
+
 def test_assembly_joins_lines_of_open_quotes():
-    lines = ['1|"a', 'b"|2', "3|c", '4|d"e', '5|"open', "end"]
-    assert list(pf.assemble_records(lines, "|")) == ['1|"a\nb"|2', "3|c", '4|d"e', '5|"open\nend']
+    assert assembled(['1|"a', 'b"|2', "3|c", '4|d"e', "", '5|"x""', '"|y\r']) == ['1|"a\nb"|2', "3|c", '4|d"e', "", '5|"x""\n"|y\r']
+    assert list(pf.assemble_records('1|"a\nb"|2\n3|c\n', "|")) == [(1, '1|"a\nb"|2'), (3, "3|c")]
+
+
+def test_an_open_quote_costs_one_line():
+    lines = ['1|"open', "2|ok", "3|ok", "4|ok"]
+    assert assembled(lines) == lines
+    assert assembled(['1|"open', '2|"ok"|', '3|"a', 'b"']) == ['1|"open', '2|"ok"|', '3|"a\nb"']
+    assert assembled(['1|"open', '2|ok"|z', "3|ok"], width=2) == ['1|"open', '2|ok"|z', "3|ok"]  # joined, it would have three fields
+    assert assembled(['1|"a', 'b"|2', "3|c"], width=3) == ['1|"a\nb"|2', "3|c"]
+
+
+def test_assembly_is_linear():
+    began = time.perf_counter()
+    text = "\n".join(['1|"open|""|' + "x" * 40] * 40_000)
+    assert sum(1 for _ in pf.assemble_records(text, "|", 3)) == 40_000
+    assert time.perf_counter() - began < 10
+
+
+def test_assembled_files(spark):
+    lines = ['1|"a', 'b"|2024-01-01', '2|"open|2024-01-01', "3|c|2024-01-01", "", "x|d|2024-01-01"]
+    given = spark.createDataFrame([("f1", "t", "|", n, x) for n, x in enumerate(lines)], "source_file string, source_name string, delimiter string, n long, line string")
+    records = pf.assembled(given, layout(spark), ["n"])
+    judged = pf.parse_lines(records, layout(spark), "record_number")
+    assert rows(pf.failures(judged, "record_number")) == [(3, "broken_quoting"), (6, "invalid_value")]
+    assert rows(pf.typed_records(judged, layout(spark), "t", "record_number").select("record_number", "name")) == [(1, "a\nb"), (4, "c")]
 
 
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.lists(st.text(alphabet='ab"|\n ', max_size=6), min_size=2, max_size=3), min_size=1, max_size=4))
 def test_written_records_are_read_back(records):
     text = "\n".join("|".join('"' + f.replace('"', '""') + '"' for f in r) for r in records)
-    back = [pf.split_record(r, "|") for r in pf.assemble_records(text.split("\n"), "|")]
+    back = [pf.split_record(r, "|") for _, r in pf.assemble_records(text, "|")]
     assert back == records
 
 
