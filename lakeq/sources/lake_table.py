@@ -1,14 +1,21 @@
 """A versioned Parquet table with idempotent, null-safe upserts.
 
-Each write makes a new version folder; a one-line pointer file names the current one and is replaced by a
-rename, so readers see one version or the other. On a catalog with row-level operations use its MERGE.
+A version is a numbered commit file that lists the data folders it consists of. Data is written first, to a folder
+of its own; then the commit file is written under another name and renamed to the next number, which fails if that
+number is taken. Nothing is deleted on the way: a crash anywhere leaves the version before, and of two writers that
+began from one version the second gets ``ConflictError``. An append adds a folder and rewrites nothing. The file system
+is reached through the JVM, so this class needs a classic session (not Spark Connect). On a catalog with row-level
+operations use its MERGE.
 """
 
 from __future__ import annotations
 
+import json
 import re
+import uuid
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,47 +54,90 @@ def merged(target: DataFrame, source: DataFrame, keys: list[str], order: list[st
     return kept.unionByName(latest, allowMissingColumns=True)
 
 
+class ConflictError(RuntimeError):
+    """Another writer has committed the version this one was about to."""
+
+
 class LakeTable:
-    """A table under ``path`` (any Hadoop file system)."""
+    """A table under ``path`` (any Hadoop file system with atomic rename)."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._hadoop = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._hadoop(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self._jvm = spark.sparkContext._jvm
+        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self._fs = self._hadoop(self.path).getFileSystem(self._conf)
+
+    def _hadoop(self, path: str):
+        return self._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _names(self, folder: str) -> list[str]:
+        at = self._hadoop(f"{self.path}/{folder}")
+        return [f.getPath().getName() for f in self._fs.listStatus(at)] if self._fs.exists(at) else []
 
     def version(self) -> int:
         """The current version, 0 where there is none."""
-        pointer = self._hadoop(f"{self.path}/_current")
-        if not self._fs.exists(pointer):
-            return 0
-        stream = self._fs.open(pointer)
+        return max((int(n) for n in self._names("_commits") if n.isdigit()), default=0)
+
+    def folders(self, version: int | None = None) -> list[str]:
+        """The data folders of a version (the current one)."""
+        version = self.version() if version is None else version
+        if not version:
+            return []
+        stream = self._fs.open(self._hadoop(f"{self.path}/_commits/{version}"))
         try:
-            return int(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+            return json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
 
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/v={self.version()}")
-
-    def _commit(self, df: DataFrame, partition_by: list[str]) -> None:
-        old, new = self.version(), self.version() + 1
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.path}/v={new}")
-        part = self._hadoop(f"{self.path}/_current.part")
-        stream = self._fs.create(part, True)
-        stream.write(bytearray(str(new).encode()))
+    def read(self, version: int | None = None) -> DataFrame:
+        paths = [f"{self.path}/{f}" for f in self.folders(version)]
+        if not paths:
+            raise FileNotFoundError(f"no table at {self.path}")
+        parts = [self.spark.read.parquet(p) for p in paths]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+    def write_data(self, df: DataFrame, partition_by: list[str]) -> str:
+        """Writes a data folder that no version holds yet; its name."""
+        name = f"data-{uuid.uuid4().hex}"
+        df.write.partitionBy(*partition_by).parquet(f"{self.path}/{name}")
+        return name
+
+    def commit(self, folders: list[str], after: int) -> int:
+        """Makes ``folders`` the version that follows ``after``."""
+        waiting = self._hadoop(f"{self.path}/_commits/.{uuid.uuid4().hex}")
+        stream = self._fs.create(waiting, False)
+        stream.write(bytearray(json.dumps(folders).encode()))
         stream.close()
-        current = self._hadoop(f"{self.path}/_current")
-        self._fs.delete(current, False)
-        self._fs.rename(part, current)
-        if old > 1:
-            self._fs.delete(self._hadoop(f"{self.path}/v={old - 1}"), True)  # the version before stays for running readers
+        options = self.spark.sparkContext._gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        target = self._hadoop(f"{self.path}/_commits/{after + 1}")
+        try:
+            self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), self._conf).rename(waiting, target, options)
+        except Py4JJavaError as error:
+            if "AlreadyExists" in error.java_exception.getClass().getName():
+                raise ConflictError(f"version {after + 1} of {self.path} was committed by another writer") from None
+            raise
+        return after + 1
 
     def replace(self, df: DataFrame, partition_by: list[str] | None = None) -> None:
-        self._commit(df, partition_by or [])
+        before = self.version()
+        self.commit([self.write_data(df, partition_by or [])], before)
 
     def append(self, df: DataFrame) -> None:
-        self._commit(self.read().unionByName(df, allowMissingColumns=True) if self.version() else df, [])
+        before = self.version()
+        self.commit([*self.folders(before), self.write_data(df, [])], before)
+
+    def compact(self) -> None:
+        """The current rows in one folder."""
+        self.replace(self.read())
+
+    def vacuum(self, keep: int = 2) -> int:
+        """Deletes the data folders that none of the last ``keep`` versions holds; only while no writer is at work."""
+        current = self.version()
+        kept = {f for v in range(max(1, current - keep + 1), current + 1) for f in self.folders(v)}
+        gone = [n for n in self._names("") if n.startswith("data-") and n not in kept]
+        for name in gone:
+            self._fs.delete(self._hadoop(f"{self.path}/{name}"), True)
+        return len(gone)
 
     def merge(self, source: DataFrame, keys: list[str], order: list[str] | None = None) -> list[str]:
         """Upsert by the keys that exist; without any, append. Returns the keys used."""
@@ -95,12 +145,13 @@ class LakeTable:
         for k in used:
             safe_identifier(k)
         order = order or sorted(c for c in source.columns if c not in used)
+        before = self.version()
         if not used:
             self.append(source)
-        elif not self.version():
-            self._commit(keep_best(source, used, *[F.col(o) for o in order]), [])
+        elif not before:
+            self.commit([self.write_data(keep_best(source, used, *[F.col(o) for o in order]), [])], before)
         else:
-            self._commit(merged(self.read(), source, used, order), [])
+            self.commit([self.write_data(merged(self.read(before), source, used, order), [])], before)
         return used
 
 

@@ -22,7 +22,7 @@ def delimited_lines(spark: SparkSession, paths: str | list[str], encoding: str =
 
 
 def quoted_records(spark: SparkSession, paths: str | list[str], delimiter: str, width: int | None = None) -> DataFrame:
-    """source_file, record_number (of the first physical line), line: records that may hold line breaks in quotes.
+    """source_file, record_number, line: records that may hold line breaks in quotes.
 
     A file is read by one task; ``delimited_lines`` splits files without such records. ``width``: fields of a record.
     """
@@ -31,7 +31,7 @@ def quoted_records(spark: SparkSession, paths: str | list[str], delimiter: str,
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for file, text in zip(part["source_file"], part["value"]):
-                records = [(file, n, r) for n, r in assemble_records(text.removeprefix("\ufeff"), delimiter, width)]
+                records = [(file, n, r) for n, (_, r) in enumerate(assemble_records(text.removeprefix("\ufeff"), delimiter, width), 1)]
                 yield pd.DataFrame(records, columns=["source_file", "record_number", "line"])
 
     return files.mapInPandas(run, "source_file string, record_number long, line string")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,18 +62,31 @@ def upsert_into(table, keys: list[str], order: list[str]):
     return run
 
 
-def route_late(on_time: str, late: str, policy: LateDataPolicy):
-    """A ``foreachBatch`` function that writes rows beyond the lateness, against the latest of all batches so far, aside."""
-    latest = {"at": None}
+def stored_mark(spark: SparkSession, path: str, before: int):
+    """The latest event time of all batches before one, as stored by the last of them; None where there is none."""
+    if before <= 0:
+        return None
+    try:
+        return spark.read.schema("at timestamp").parquet(f"{path}/marks/batch={before - 1}").first()["at"]
+    except AnalysisException:  # no batch before this one was routed
+        return None
+
+
+def route_late(path: str, policy: LateDataPolicy):
+    """A ``foreachBatch`` function that writes each row once, under ``path``/rows/batch=N/is_late=..., and the batch's mark.
+
+    A row is late if it lies beyond the lateness before the latest of all earlier batches. The mark is stored beside
+    the rows, so a restart goes on where the stream stopped, and running a batch again gives the same files.
+    """
 
     def run(batch: DataFrame, number: int) -> None:
-        top = batch.agg(F.max(policy.event_time)).first()[0]
-        seen = latest["at"]
-        mark = F.lit(seen) - F.expr(f"INTERVAL {policy.lateness_seconds} SECONDS") if seen is not None else None
-        is_late = F.lit(False) if mark is None else F.col(policy.event_time) < mark
-        batch.filter(~is_late).write.mode("overwrite").parquet(f"{on_time}/batch={number}")
-        batch.filter(is_late).write.mode("overwrite").parquet(f"{late}/batch={number}")
-        if top is not None:
-            latest["at"] = top if seen is None else max(top, seen)
+        spark, rows = batch.sparkSession, f"{path}/rows/batch={number}"
+        seen = stored_mark(spark, path, number)
+        mark = F.lit(seen).cast("timestamp") - F.expr(f"INTERVAL {policy.lateness_seconds} SECONDS")
+        is_late = F.lit(False) if seen is None else F.coalesce(F.col(policy.event_time) < mark, F.lit(False))
+        batch.withColumn("is_late", is_late).write.mode("overwrite").partitionBy("is_late").parquet(rows)
+        written = spark.read.schema(f"{policy.event_time} timestamp").parquet(rows)
+        top = written.agg(F.greatest(F.max(policy.event_time), F.lit(seen).cast("timestamp")).alias("at"))
+        top.coalesce(1).write.mode("overwrite").parquet(f"{path}/marks/batch={number}")
 
     return run

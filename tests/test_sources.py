@@ -103,6 +103,46 @@ def test_upserts(spark, tmp_path):
     assert table.read().count() == 3
 
 
+def test_commits_survive_a_stop_between_any_two_steps(spark, tmp_path, monkeypatch):
+    table = lake_table.LakeTable(spark, str(tmp_path / "t"))
+    table.replace(spark.range(100))
+    table.replace(spark.range(1000))
+    stop = RuntimeError("stopped")
+
+    def stopped(*_):
+        raise stop
+
+    for name in ("write_data", "commit"):
+        with monkeypatch.context() as patch:
+            patch.setattr(lake_table.LakeTable, name, stopped)
+            for act in (lambda: table.merge(spark.range(5), ["id"]), lambda: table.append(spark.range(5)), lambda: table.replace(spark.range(5))):
+                with pytest.raises(RuntimeError):
+                    act()
+        assert lake_table.LakeTable(spark, table.path).read().count() == 1000
+    (tmp_path / "t" / "_commits" / ".left").write_text("[")  # a commit that never got its number
+    assert table.version() == 2 and table.read().count() == 1000 and table.read(1).count() == 100
+
+
+def test_of_two_writers_one_fails(spark, tmp_path):
+    a, b = (lake_table.LakeTable(spark, str(tmp_path / "t")) for _ in range(2))
+    a.replace(spark.range(10))
+    before, name = b.version(), b.write_data(spark.range(3), [])
+    a.append(spark.range(10, 12))
+    with pytest.raises(lake_table.ConflictError):
+        b.commit([name], before)
+    assert b.read().count() == 12
+
+
+def test_append_writes_new_files_only(spark, tmp_path):
+    table = lake_table.LakeTable(spark, str(tmp_path / "t"))
+    table.append(spark.range(10))
+    first = table.folders()
+    table.append(spark.range(5).withColumn("extra", F.lit("x")))
+    assert table.folders()[:1] == first and table.read().count() == 15 and table.read().columns == ["id", "extra"]
+    table.compact()
+    assert table.vacuum(keep=1) == 2 and table.read().count() == 15 and len(table.folders()) == 1
+
+
 def test_identifiers():
     assert lake_table.merge_condition(["window_start", "location_id"]) == "target.window_start <=> source.window_start AND target.location_id <=> source.location_id"
     with pytest.raises(ValueError):

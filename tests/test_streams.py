@@ -48,9 +48,20 @@ def test_upserts_and_late_rows(spark, tmp_path, data):
     stream.writeStream.foreachBatch(streams.upsert_into(table, ["user_id"], ["ts", "event_id"])).option("checkpointLocation", str(tmp_path / "c1")).trigger(availableNow=True).start().awaitTermination(120)
     events = spark.read.parquet(like)
     assert table.read().count() == events.select("user_id").distinct().count()
-    route = streams.route_late(str(tmp_path / "ok"), str(tmp_path / "late"), POLICY)
+    route = streams.route_late(str(tmp_path / "routed"), POLICY)
     stream.writeStream.foreachBatch(route).option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).start().awaitTermination(120)
-    assert spark.read.parquet(str(tmp_path / "ok")).count() + spark.read.parquet(str(tmp_path / "late")).count() == events.count()
+    assert spark.read.parquet(str(tmp_path / "routed" / "rows")).count() == events.count()
+
+
+def test_the_mark_of_late_rows_outlives_the_stream(spark, tmp_path):
+    at = lambda *hours: spark.createDataFrame([(h,) for h in hours], "h int").select(F.expr("timestamp_seconds(h * 3600)").alias("ts"), "h")
+    path = str(tmp_path / "r")
+    streams.route_late(path, POLICY)(at(10, 1), 0)
+    for _ in range(2):  # a new process, and a batch that runs twice
+        streams.route_late(path, POLICY)(at(9, 7), 1)
+    streams.route_late(path, POLICY)(at(8), 2)
+    got = spark.read.parquet(f"{path}/rows")
+    assert rows(got.select("batch", "h", F.col("is_late").cast("boolean"))) == [(0, 1, False), (0, 10, False), (1, 7, True), (1, 9, False), (2, 8, False)]
 
 
 def test_sliding_and_session_windows(spark, tmp_path, data):
