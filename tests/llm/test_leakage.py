@@ -1,6 +1,12 @@
+import itertools
 import random
 import re
 
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
 from lakeq.llm import leakage
 from tests.conftest import rows
 from tests.llm.test_canonical import plain
@@ -64,6 +70,40 @@ def test_every_single_substitution_is_seen(spark):
     assert {d for d, _ in out} == set(range(12)) and all(r.overlap_words == 12 for r in out.values())
 
 
+def test_two_substitutions_hit_the_masks_for_two(spark):
+    base = [f"w{n}" for n in range(12)]
+    pairs = list(itertools.combinations(range(12), 2))
+    texts = [" ".join("zzz" if n in pair else w for n, w in enumerate(base)) for pair in pairs]
+    out = leakage.leaks(*tables(spark, texts, [" ".join(base)]), tolerance=2).collect()
+    assert {r.doc_id for r in out} == set(range(66)) and all((r.overlap_words, r.substituted_words) == (12, 2) for r in out)
+    exact = leakage.leaks(*tables(spark, [" ".join(base), texts[0]], [" ".join(base)]), tolerance=0).collect()
+    assert [(r.doc_id, r.exact_words) for r in exact] == [(0, 12)]
+    with pytest.raises(ValueError):
+        leakage.masks(3)
+
+
+def test_repeated_words_give_no_product_of_places(spark):
+    docs, items = tables(spark, ["ha " * 20_000, "so " * 5000 + "ha " * 13], ["ha " * 300])
+    worded = [leakage.with_words(docs, "doc_id", "text"), leakage.with_words(items, "item_id", "item_text")]
+    assert leakage.hits(*worded).count() <= 3 * 20_013
+    assert {r.doc_id: r.exact_words for r in leakage.leaks(docs, items).collect()} == {0: 300, 1: 13}
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(0, 2), min_size=12, max_size=40), st.lists(st.integers(0, 2), min_size=12, max_size=20), st.integers(0, 2))
+def test_overlap_against_every_window(doc, item, tolerance):
+    exact = best = 0
+    for shift in range(-len(item), len(doc)):
+        same = [item[i] == doc[i + shift] for i in range(len(item)) if 0 <= i + shift < len(doc)]
+        if len(same) < 12:
+            continue
+        exact = max([exact, *(n for a in range(len(same)) for n in range(1, len(same) - a + 1) if all(same[a : a + n]))])
+        starts = [a for a in range(len(same) - 11) if sum(not x for x in same[a : a + 12]) <= tolerance]
+        best = max(best, len({i for a in starts for i in range(a, a + 12)}))
+    got = leakage.overlap(np.array(doc), np.array(item), range(-len(item), len(doc)), tolerance)
+    assert got[:2] == (exact, best)
+
+
 def test_copies_long_texts_and_empty(spark):
     item = " ".join(f"q{n}" for n in range(12))
     long = "pad " * 60_000 + item
