@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeq.session import cut
+from lakeq.session import cut, small_side
 
 # Letters of other alphabets with the shape of a Latin letter (each pair is other, Latin).
 GREEK = "ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX οo ϲc ϹC ϳj ͿJ"
@@ -161,24 +161,51 @@ def canonical_form(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return plain.unionByName(rebuilt.select(id_col, "text_key", recompose(strings).alias("form")))
 
 
-#: Documents of one form spread over this many join partitions.
-SALTS = 8
+#: Distinct texts or forms up to this number are broadcast; more are joined by a shuffle.
+MAX_BROADCAST_KEYS = 1_000_000
+
+
+def _salts(spark: SparkSession) -> int:
+    """Join partitions over which the documents of one text are spread: grows with the cluster's shuffle partitions."""
+    return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
+
+
+def _keyed_forms(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    given = docs.filter(F.col(text_col).isNotNull())
+    return canonical_form(given, id_col, text_col).select(F.col(id_col).alias("id"), "text_key", text_key(F.col("form")).alias("form_key"))
+
+
+def text_pairs(forms: DataFrame) -> DataFrame:
+    """key_a, key_b: each two distinct texts of one form once, the one with more documents first.
+
+    Documents are counted per text by partial aggregates, so any number of exact copies is one row here.
+    """
+    texts = cut(forms.groupBy("form_key", "text_key").agg(F.count(F.lit(1)).alias("n")))
+    mixed = small_side(cut(texts.groupBy("form_key").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("form_key")), MAX_BROADCAST_KEYS)
+    several = cut(texts.join(mixed, "form_key"))
+    other = several.select("form_key", F.col("text_key").alias("key_b"), F.col("n").alias("n_b"))
+    both = several.withColumnRenamed("text_key", "key_a").join(other, "form_key")
+    return both.filter("n > n_b OR (n = n_b AND key_a < key_b)").select("key_a", "key_b")
 
 
 def lookalike_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id_a < doc_id_b: texts that are not identical but have one form.
 
-    Forms with a single text (exact copies) are dropped after a partial aggregate, before any join.
+    Pairs are made of distinct texts; only then the documents of either text are put in their place, which gives
+    every pair once. A text with a third of all documents is spread over salts. ``lookalike_classes`` has the same
+    links with one row per document.
     """
-    given = docs.filter(F.col(text_col).isNotNull())
-    forms = cut(canonical_form(given, id_col, text_col).select(F.col(id_col).alias("id"), "text_key", text_key(F.col("form")).alias("form_key")))
-    mixed = forms.groupBy("form_key").agg(F.min("text_key").alias("low"), F.max("text_key").alias("high")).filter("low <> high").select("form_key")
-    left = forms.select("form_key", F.col("id").alias("doc_id_a"), F.col("text_key").alias("key_a"), F.pmod(F.hash("id"), F.lit(SALTS)).alias("salt"))
-    right = forms.join(mixed, "form_key").select(
-        "form_key", F.col("id").alias("doc_id_b"), F.col("text_key").alias("key_b"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    )
-    pairs = left.join(right, ["form_key", "salt"]).filter("key_a <> key_b AND doc_id_a < doc_id_b")
-    return pairs.select("doc_id_a", "doc_id_b").distinct()
+    forms = cut(_keyed_forms(docs, id_col, text_col))
+    pairs = cut(text_pairs(forms))
+    used = small_side(cut(pairs.select(F.explode(F.array("key_a", "key_b")).alias("text_key")).distinct()), MAX_BROADCAST_KEYS)
+    members = forms.join(used, "text_key", "left_semi").select("id", "text_key").distinct()
+    salts = _salts(docs.sparkSession)
+    salt = F.pmod(F.hash("id"), F.lit(salts)).alias("salt")
+    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
+    many = members.select(F.col("id").alias("id_a"), F.col("text_key").alias("key_a"), salt).join(pairs.select("key_a", "key_b", every), ["key_a", "salt"])
+    few = members.select(F.col("id").alias("id_b"), F.col("text_key").alias("key_b"), every)
+    placed = many.select("id_a", "key_b", F.pmod(F.hash("id_a"), F.lit(salts)).alias("salt")).join(few, ["key_b", "salt"])
+    return placed.filter("id_a <> id_b").select(F.least("id_a", "id_b").alias("doc_id_a"), F.greatest("id_a", "id_b").alias("doc_id_b")).distinct()
 
 
 def lookalike_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

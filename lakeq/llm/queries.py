@@ -46,11 +46,17 @@ def p7_report(spark: SparkSession, d: str) -> DataFrame:
     return mixing.draw(table(spark, d, "mix_targets"), table(spark, d, "documents"))[1]
 
 
+def p7_report_held(spark: SparkSession, d: str) -> DataFrame:
+    """As ``p7_report``, with budgets shrunk until the shares hold among the tokens drawn."""
+    return mixing.draw(table(spark, d, "mix_targets"), table(spark, d, "documents"), hold_shares=True)[1]
+
+
 QUERIES = {
     "p6_found": p6_found,
     "p6_overlaps": p6_overlaps,
     "p7_draw": p7_draw,
     "p7_report": p7_report,
+    "p7_report_held": p7_report_held,
     "p8_found": p8_found,
     "p8_forms": p8_forms,
     "p8_classes": p8_classes,

@@ -55,6 +55,14 @@ def test_pairs(spark):
     assert rows(canonical.lookalike_pairs(docs(spark, texts))) == sorted([(0, 2), (0, 3), (1, 2), (1, 3), (2, 3), (8, 9)], key=repr)
 
 
+def test_many_copies_and_one_variant(spark):
+    """A third of all documents are copies of one text: candidates are pairs of texts, not of documents."""
+    texts = ["copy"] * 3000 + ["сopy"] + [f"text {n}" for n in range(6000)]
+    table = docs(spark, texts)
+    assert rows(canonical.lookalike_pairs(table)) == sorted([(n, 3000) for n in range(3000)], key=repr)
+    assert canonical.text_pairs(canonical._keyed_forms(table, "doc_id", "text")).count() == 1
+
+
 def test_repeated_rows_and_empty(spark):
     twice = docs(spark, ["pаy"]).unionAll(docs(spark, ["pаy"])).unionAll(spark.createDataFrame([(5, "pay", "f", "k", "p")], DOC))
     assert rows(canonical.lookalike_pairs(twice)) == [(0, 5)]

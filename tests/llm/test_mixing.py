@@ -45,14 +45,64 @@ def test_draw_keeps_its_promises(spark):
 def test_order_is_that_of_the_keys(spark):
     docs = [(i, "x" * 10, "a") for i in range(400)]
     copies, _ = drawn(spark, docs, [("m", "a", 0.25, 1)])
-    keyed = mixing.keyed(mixing.weighed(tables(spark, docs, [("m", "a", 1.0, 1)])[1], counter), 42).orderBy("key", "doc_id")
+    keyed = mixing.with_keys(mixing.weighed(tables(spark, docs, [("m", "a", 1.0, 1)])[1], counter), 42).orderBy("key", "doc_id")
     assert {i for _, i in copies} == {r.doc_id for r in keyed.limit(100).collect()}
 
 
 def test_heavier_documents_come_more_often(spark):
-    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("a").alias("source"), F.lit(1).alias("tokens"), F.when(F.col("id") % 2 == 0, 0.2).otherwise(0.8).alias("weight"))
-    first = mixing.keyed(docs, 7).orderBy("key").limit(400).collect()
-    assert sum(r.weight > 0.5 for r in first) > 260
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("a").alias("source"), F.lit("x").alias("text"), F.when(F.col("id") % 2 == 0, 0.2).otherwise(0.8).alias("w"))
+    copies, _ = mixing.draw(spark.createDataFrame([("m", "a", 0.1, 1)], TARGET), docs, 7, counter=counter, weight=F.col("w"))
+    got = copies.collect()
+    assert len(got) == 400 and sum(r.doc_id % 2 for r in got) > 260
+
+
+@pytest.mark.parametrize("weight", [0.001, 0.1, 0.3, 1.0, 50.0])
+def test_no_bucket_takes_a_share_of_its_source(spark, weight):
+    """Whatever the weights, the ranks of keys are spread evenly, so no bucket is a hot group."""
+    w = F.when(F.col("id") % 3 == 0, weight).otherwise(F.rand(1) + 0.01)
+    docs = mixing.with_keys(spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit("a").alias("source"), F.lit(1).alias("tokens"), w.alias("weight")), 3)
+    ranked = mixing.keyed(docs, mixing.weight_classes(docs))
+    assert ranked.groupBy("bucket").count().agg(F.max("count")).first()[0] < 60
+    assert ranked.groupBy("bucket", "part").count().agg(F.max("count")).first()[0] <= 3
+    by_key = [tuple(r) for r in ranked.orderBy("key").select("bucket", "part").collect()]
+    assert by_key == sorted(by_key)
+
+
+def test_draw_in_key_order_with_weights(spark):
+    rng = random.Random(4)
+    docs = [(i, "x" * rng.randint(1, 9), "a") for i in range(3000)]
+    targets, table = tables(spark, docs, [("m", "a", 0.37, 1)])
+    weight = (F.col("doc_id") % 7 + 0.05) / 7
+    copies = mixing.draw(targets, table, counter=counter, weight=weight)[0]
+    budget, taken, expected = math.floor(0.37 * sum(len(t) for _, t, _ in docs) + 1e-6), 0, set()
+    for r in mixing.with_keys(mixing.weighed(table, counter, weight), 42).orderBy("key", "doc_id").collect():
+        taken += r.tokens
+        if taken > budget:
+            break
+        expected.add(r.doc_id)
+    assert {r.doc_id for r in copies.collect()} == expected
+
+
+def test_weights_that_say_nothing(spark):
+    docs = [(i, "xx", "a") for i in range(5)]
+    targets, table = tables(spark, docs, [("m", "a", 1.0, 1)])
+    weight = F.element_at(F.array(F.lit(None), F.lit(0.0), F.lit(-1.0), F.lit(float("nan")), F.lit(float("inf"))).cast("array<double>"), (F.col("doc_id") + 1).cast("int"))
+    assert mixing.draw(targets, table, counter=counter, weight=weight)[0].count() == 5
+
+
+def test_shares_can_be_held(spark):
+    docs = [(i, "x" * 10, "a" if i < 900 else "b") for i in range(1000)]
+    targets = [("m", "a", 0.5, 1), ("m", "b", 0.5, 2), ("m", "gone", 0.2, 3)]
+    _, report = drawn(spark, docs, targets, hold_shares=True)
+    assert report[("m", "b")].drawn_tokens == 2000 and report[("m", "a")].drawn_tokens == 2000 and report[("m", "gone")].drawn_tokens == 0
+    _, free = drawn(spark, docs, targets)
+    assert free[("m", "a")].drawn_tokens == 5000 and free[("m", "b")].drawn_tokens == 2000
+
+
+def test_quality_weight(spark):
+    texts = ["the market closed higher on friday after a quiet week", "buy buy buy buy buy buy buy buy", "%% 00 11 ## 22 33", "", None, "word " * 50_000]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "text string").select(mixing.quality_weight()).collect()]
+    assert got[0] > got[1] > got[2] == got[3] == got[4] == 0.1 and got[5] < got[1]
 
 
 def test_same_seed_same_draw(spark):
