@@ -299,6 +299,10 @@ class Drift:
         all_changes = renamed.unionByName(gone).unionByName(new).unionByName(other)
         return all_changes.join(self.files, file).select("source_name", "channel", "file_seq", "file_name", "change_kind", "field_name", "candidate_field")
 
+    def change_log(self) -> DataFrame:
+        """``changes`` in the order of the files of a channel."""
+        return self.changes().orderBy("channel", "file_seq", "file_name", "change_kind", "field_name", "candidate_field")
+
     def union_schema(self) -> DataFrame:
         """source_name, field_name, field_type, union_type, files: the lattice fold over all files."""
         kinds = self.under().groupBy("source_name", "field_name", "field_type").agg(

@@ -6,6 +6,12 @@ keyed by word number, so any number of snapshots works; runs that touch a word's
 neighbouring word afterwards. Rows are reduced to one per entity and snapshot by partial aggregation
 before any window, so one entity holding a third of all rows is no hot task.
 
+For periodic snapshots the bits stand on a calendar that all entities share, so absence is a gap. For dated changes
+nothing says that an entity was absent: its own dates are its snapshots, and its bitmaps have no gaps but those of
+other states in between.
+
+``carry`` names columns (attributes, batch) that come with every version: those of the row that began it.
+
 Values are equal after trimming and lower-casing, null equal to ''.
 
 Defined cases
@@ -52,8 +58,8 @@ def runs(bits: DataFrame) -> DataFrame:
     return islands.groupBy("entity_key", "state", "island").agg(F.min("a").alias("first_pos"), F.max("b").alias("last_pos")).drop("island")
 
 
-def snapshot_history(snapshots: DataFrame, entity: str, key: str, attributes: list[str], calendar: DataFrame, period: str = "batchid", rank: str | None = None) -> DataFrame:
-    """Versions from periodic snapshots: entity, entity_key, valid_from, valid_to, state.
+def snapshot_history(snapshots: DataFrame, entity: str, key: str, attributes: list[str], calendar: DataFrame, period: str = "batchid", rank: str | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Versions from periodic snapshots: entity, entity_key, valid_from, valid_to, state, and the carried columns.
 
     ``calendar`` (period, batch_date) lists all snapshots, so an entity absent from one has a gap there.
     A version ends at the date of the next snapshot that differs or lacks the entity.
@@ -62,16 +68,34 @@ def snapshot_history(snapshots: DataFrame, entity: str, key: str, attributes: li
     latest = (
         snapshots.filter(F.col(key).isNotNull() & F.col(period).isNotNull())
         .groupBy(F.col(key).cast("long").alias("entity_key"), F.col(period).alias("period"))
-        .agg(F.max_by(state_hash(attributes), F.struct(F.col(rank or period), state_hash(attributes))).alias("state"))
+        .agg(F.max_by(_kept(attributes, carry), F.struct(F.col(rank or period), state_hash(attributes))).alias("r"))
+        .select("entity_key", "period", "r.*")
     )
     placed = latest.join(F.broadcast(positions.select("period", "pos")), "period")
     spans = runs(bitmaps(placed.select("entity_key", "state", "pos")))
     begins = F.broadcast(positions.select(F.col("pos").alias("first_pos"), F.col("batch_date").alias("valid_from")))
     closes = F.broadcast(positions.select((F.col("pos") - 1).alias("last_pos"), F.col("batch_date").alias("valid_to")))
+    if carry:
+        spans = spans.join(placed.select("entity_key", F.col("pos").alias("first_pos"), *carried(carry)), ["entity_key", "first_pos"])
     return (
         spans.join(begins, "first_pos")
         .join(closes, "last_pos", "left")
-        .select(F.lit(entity).alias("entity"), "entity_key", "valid_from", F.coalesce("valid_to", F.lit(OPEN_END)).alias("valid_to"), "state")
+        .select(F.lit(entity).alias("entity"), "entity_key", "valid_from", F.coalesce("valid_to", F.lit(OPEN_END)).alias("valid_to"), "state", *carried(carry))
+    )
+
+
+def carried(carry: tuple[str, ...]) -> list[Column]:
+    return [F.col(f"_carry_{c}") for c in carry]
+
+
+def _kept(attributes: list[str], carry: tuple[str, ...]) -> Column:
+    return F.struct(state_hash(attributes).alias("state"), *[F.col(c).alias(f"_carry_{c}") for c in carry])
+
+
+def full_versions(history: DataFrame, carry: tuple[str, ...]) -> DataFrame:
+    """entity_key, effectivedate, enddate, iscurrent and the carried columns of every version."""
+    return history.select(
+        "entity_key", F.col("valid_from").alias("effectivedate"), F.col("valid_to").alias("enddate"), (F.col("valid_to") == OPEN_END).alias("iscurrent"), *[F.col(f"_carry_{c}").alias(c) for c in carry]
     )
 
 
@@ -88,8 +112,8 @@ def calendar_positions(calendar: DataFrame, period: str) -> DataFrame:
     return calendar.sparkSession.createDataFrame(numbered, "period long, batch_date string, pos long")
 
 
-def change_history(changes: DataFrame, entity: str, key: str, attributes: list[str], effective: str = "effectivedate", rank: tuple[str, ...] = ("batchid",)) -> DataFrame:
-    """Versions from dated states: entity, entity_key, valid_from, valid_to, state.
+def change_history(changes: DataFrame, entity: str, key: str, attributes: list[str], effective: str = "effectivedate", rank: tuple[str, ...] = ("batchid",), carry: tuple[str, ...] = ()) -> DataFrame:
+    """Versions from dated states: entity, entity_key, valid_from, valid_to, state, and the carried columns.
 
     Of several rows of an entity and date the one with the highest ``rank`` counts. An entity's dates are
     its own snapshots; a version is a run of dates with the same state.
@@ -97,12 +121,13 @@ def change_history(changes: DataFrame, entity: str, key: str, attributes: list[s
     latest = (
         changes.filter(F.col(key).isNotNull() & F.col(effective).isNotNull())
         .groupBy(F.col(key).cast("long").alias("entity_key"), F.col(effective).cast("string").alias("valid_from"))
-        .agg(F.max_by(state_hash(attributes), F.struct(*rank, state_hash(attributes))).alias("state"))
+        .agg(F.max_by(_kept(attributes, carry), F.struct(*rank, state_hash(attributes))).alias("r"))
+        .select("entity_key", "valid_from", "r.*")
     )
     w = Window.partitionBy("entity_key").orderBy("valid_from")
     placed = latest.withColumn("pos", (F.row_number().over(w) - 1).cast("long"))
     spans = runs(bitmaps(placed.select("entity_key", "state", "pos")))
-    begun = spans.join(placed.select("entity_key", F.col("pos").alias("first_pos"), "valid_from"), ["entity_key", "first_pos"])
+    begun = spans.join(placed.select("entity_key", F.col("pos").alias("first_pos"), "valid_from", *carried(carry)), ["entity_key", "first_pos"])
     return begun.select(
-        F.lit(entity).alias("entity"), "entity_key", "valid_from", F.lead("valid_from", 1, OPEN_END).over(w).alias("valid_to"), "state"
+        F.lit(entity).alias("entity"), "entity_key", "valid_from", F.lead("valid_from", 1, OPEN_END).over(w).alias("valid_to"), "state", *carried(carry)
     )

@@ -7,6 +7,9 @@ references and no existence in a period is an orphan of that period. Deltas are
 before the shuffle, so a key that holds a third of all rows costs one row per period and map task. The
 rows behind orphan keys are found by a salted equi-join.
 
+The counters can be kept: ``advance`` adds the deltas of one period to a stored ledger, which holds one row per key
+with a count, and the deltas that are due later (references taken back, restorations).
+
 Defined cases
     null or 0 reference             no reference
     null period of a row            before all periods, so nothing exists for it
@@ -90,6 +93,25 @@ def ledger(deltas: DataFrame) -> DataFrame:
     return summed.select("parent_table", "key", "period", *[F.sum(c).over(w).alias(c) for c in ("refs", "alive", "dead")])
 
 
+COUNTS = ("refs", "alive", "dead")
+LEDGER = "parent_table string, key long, period long, refs long, alive long, dead long"
+
+
+def delivery_deltas(delivered: DataFrame, parent_table: str, parent_key: str, period: int) -> DataFrame:
+    """+1 for every key that a period delivers; a key exists while its count is positive."""
+    keys = delivered.select(F.col(parent_key).cast("long").alias("key")).filter("key IS NOT NULL").distinct()
+    zero = F.lit(0).cast("long")
+    return keys.select(F.lit(parent_table).alias("parent_table"), "key", F.lit(period).cast("long").alias("period"), zero.alias("refs"), F.lit(1).cast("long").alias("alive"), zero.alias("dead"))
+
+
+def advance(stored: DataFrame, deltas: DataFrame, period: int) -> DataFrame:
+    """The ledger as of ``period``: all that is due is summed into it, what is due later stays; keys without counts go."""
+    due = stored.select("parent_table", "key", "period", *COUNTS).unionByName(deltas.select("parent_table", "key", "period", *COUNTS))
+    placed = due.withColumn("period", F.greatest("period", F.lit(period).cast("long")))
+    summed = placed.groupBy("parent_table", "key", "period").agg(*[F.sum(c).alias(c) for c in COUNTS])
+    return summed.filter("refs <> 0 OR alive <> 0 OR dead <> 0")
+
+
 def orphan_keys(counters: DataFrame) -> DataFrame:
     """parent_table, key, period, refs with positive references and zero existence."""
     return counters.filter("refs > 0 AND (alive <= 0 OR dead > 0)").select("parent_table", "key", "period", "refs")

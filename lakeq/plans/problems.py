@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeq.operators import feed_drift, history, orphans, parse_failures, timestamps
-from lakeq.session import table
+from lakeq.session import bounded_rows, cut, table
 
 CUSTOMER_ATTRIBUTES = [
     "taxid", "status", "lastname", "firstname", "middleinitial", "gender", "tier", "dob", "email", "phone1", "phone2", "phone3",
@@ -134,8 +134,27 @@ def p2_report(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def p2_ledger(spark: SparkSession, d: str) -> DataFrame:
+    """Orphan keys per parent table and batch, from a ledger that takes one batch after the other."""
+    references, deletions = _references(spark, d), table(spark, d, "key_deletions")
+    stored, reports = spark.createDataFrame([], orphans.LEDGER), None
+    # a driver loop over the calendar of batches, which is metadata; each turn reads the deltas of its batch only
+    for batch in sorted(int(r[0]) for r in bounded_rows(table(spark, d, "batch_dates").select("batchid").distinct(), history.MAX_SNAPSHOTS, "batch_dates")):
+        deltas = orphans.reference_deltas(references.filter(F.col("period") == batch))
+        deltas = deltas.unionByName(orphans.deletion_deltas(deletions.filter(F.col("deleted_batchid") == batch)))
+        for ref in REFERENCES:
+            delivered = table(spark, d, ref.parent_table).filter(F.col("batchid") == batch)
+            deltas = deltas.unionByName(orphans.delivery_deltas(delivered, ref.parent_table, ref.parent_key, batch))
+        stored = cut(orphans.advance(stored, deltas, batch))
+        now = orphans.orphan_keys(stored.filter(F.col("period") == batch)).groupBy("parent_table", F.col("period").alias("batchid")).agg(
+            F.count(F.lit(1)).alias("orphan_keys"), F.sum("refs").alias("orphan_rows")
+        )
+        reports = now if reports is None else reports.unionByName(now)
+    return reports
+
+
 _P2_ROWS = " UNION ALL ".join(
-    f"SELECT '{r.child_table}' AS child_table, c.{r.child_key} AS child_sk, '{r.column}' AS fk_column, c.batchid AS batchid, c.{r.column} AS k"
+    f"SELECT '{r.child_table}' AS child_table, '{r.parent_table}' AS parent_table, c.{r.child_key} AS child_sk, '{r.column}' AS fk_column, c.batchid AS batchid, c.{r.column} AS k"
     f" FROM {r.child_table} c WHERE c.{r.column} IS NOT NULL AND c.{r.column} <> 0"
     f" AND (NOT EXISTS (SELECT 1 FROM {r.parent_table} p WHERE p.{r.parent_key} = c.{r.column} AND p.batchid <= c.batchid)"
     f" OR EXISTS (SELECT 1 FROM key_deletions x WHERE x.parent_table = '{r.parent_table}' AND x.sk_value = c.{r.column}"
@@ -156,8 +175,8 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_change_log(spark: SparkSession, d: str) -> DataFrame:
-    """Every change, with the file's place in its channel."""
-    return _drift(spark, d).changes()
+    """Every change, with the file's place in its channel, in that order."""
+    return _drift(spark, d).change_log()
 
 
 def p3_union_schema(spark: SparkSession, d: str) -> DataFrame:
@@ -226,6 +245,21 @@ def _accounts(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def p5_customer_versions(spark: SparkSession, d: str) -> DataFrame:
+    """The customer dimension rebuilt: attributes, batch, effectivedate, enddate and iscurrent of each version."""
+    carry = (*CUSTOMER_ATTRIBUTES, "batchid")
+    versions = history.change_history(table(spark, d, "dim_customer"), "dim_customer", "customerid", CUSTOMER_ATTRIBUTES, rank=("batchid", "sk_customerid"), carry=carry)
+    return history.full_versions(versions, carry)
+
+
+def p5_account_versions(spark: SparkSession, d: str) -> DataFrame:
+    carry = (*ACCOUNT_ATTRIBUTES, "batchid")
+    versions = history.snapshot_history(
+        table(spark, d, "dim_account"), "dim_account", "accountid", ACCOUNT_ATTRIBUTES, table(spark, d, "batch_dates"), rank="sk_accountid", carry=carry
+    )
+    return history.full_versions(versions, carry)
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return _customers(spark, d).unionByName(_accounts(spark, d)).drop("state").distinct()
 
@@ -244,17 +278,17 @@ def _state_sql(columns: list[str]) -> str:
 
 _P5_VERSIONS = f"""
 WITH c AS (
-  SELECT customerid AS k, effectivedate AS f, {_state_sql(CUSTOMER_ATTRIBUTES)} AS s,
+  SELECT *, customerid AS k, effectivedate AS f, {_state_sql(CUSTOMER_ATTRIBUTES)} AS s,
          row_number() OVER (PARTITION BY customerid, effectivedate ORDER BY batchid DESC, sk_customerid DESC) AS rn
   FROM dim_customer WHERE customerid IS NOT NULL AND effectivedate IS NOT NULL),
-cc AS (SELECT k, f, s, lag(s) OVER (PARTITION BY k ORDER BY f) AS before FROM c WHERE rn = 1),
+cc AS (SELECT *, lag(s) OVER (PARTITION BY k ORDER BY f) AS before FROM c WHERE rn = 1),
 cv AS (SELECT k, f FROM cc WHERE before IS NULL OR before <> s),
 b AS (SELECT batchid, batch_date, row_number() OVER (ORDER BY batchid) AS pos FROM batch_dates),
 a AS (
-  SELECT accountid AS k, b.pos, b.batch_date, {_state_sql(ACCOUNT_ATTRIBUTES)} AS s,
+  SELECT x.*, accountid AS k, b.pos, b.batch_date, {_state_sql(ACCOUNT_ATTRIBUTES)} AS s,
          row_number() OVER (PARTITION BY accountid, x.batchid ORDER BY sk_accountid DESC) AS rn
   FROM dim_account x JOIN b ON b.batchid = x.batchid WHERE accountid IS NOT NULL),
-aa AS (SELECT k, pos, batch_date, s, lag(s) OVER (PARTITION BY k ORDER BY pos) AS before, lag(pos) OVER (PARTITION BY k ORDER BY pos) AS was
+aa AS (SELECT *, lag(s) OVER (PARTITION BY k ORDER BY pos) AS before, lag(pos) OVER (PARTITION BY k ORDER BY pos) AS was
        FROM a WHERE rn = 1),
 ai AS (SELECT *, sum(CASE WHEN before = s AND was = pos - 1 THEN 0 ELSE 1 END) OVER (PARTITION BY k ORDER BY pos) AS island FROM aa),
 av AS (SELECT k, min(pos) AS p, max(pos) AS q FROM ai GROUP BY k, island),
@@ -274,6 +308,7 @@ QUERIES = {
     "p1_error_counts": p1_error_counts,
     "p2_found": p2_found,
     "p2_report": p2_report,
+    "p2_ledger": p2_ledger,
     "p3_found": p3_found,
     "p3_change_log": p3_change_log,
     "p3_union_schema": p3_union_schema,
@@ -288,6 +323,8 @@ QUERIES = {
     "p4_path_accuracy": p4_path_accuracy,
     "p5_found": p5_found,
     "p5_current": p5_current,
+    "p5_customer_versions": p5_customer_versions,
+    "p5_account_versions": p5_account_versions,
 }
 
 ORACLE = {
@@ -298,6 +335,12 @@ ORACLE = {
     "p2_found": f"SELECT DISTINCT child_table, child_sk, fk_column FROM ({_P2_ROWS})",
     "p2_report": "SELECT child_table, fk_column, batchid, count(*) AS orphan_rows, count(DISTINCT k) AS orphan_keys"
     f" FROM ({_P2_ROWS}) GROUP BY child_table, fk_column, batchid",
+    "p2_ledger": f"SELECT parent_table, batchid, count(DISTINCT k) AS orphan_keys, count(*) AS orphan_rows FROM ({_P2_ROWS}) GROUP BY parent_table, batchid",
+    "p5_customer_versions": _P5_VERSIONS + f", cw AS (SELECT *, coalesce(lead(f) OVER (PARTITION BY k ORDER BY f), '9999-12-31') AS e FROM cc WHERE before IS NULL OR before <> s)"
+    f" SELECT k AS entity_key, f AS effectivedate, e AS enddate, e = '9999-12-31' AS iscurrent, {', '.join([*CUSTOMER_ATTRIBUTES, 'batchid'])} FROM cw",
+    "p5_account_versions": _P5_VERSIONS + ", aw AS (SELECT k, pos AS p, batchid, status, accountdesc, taxstatus FROM aa)"
+    " SELECT av.k AS entity_key, b1.batch_date AS effectivedate, coalesce(b2.batch_date, '9999-12-31') AS enddate, b2.batch_date IS NULL AS iscurrent, status, accountdesc, taxstatus, aw.batchid"
+    " FROM av JOIN b b1 ON b1.pos = av.p LEFT JOIN b b2 ON b2.pos = av.q + 1 JOIN aw ON aw.k = av.k AND aw.p = av.p",
     "p5_found": _P5_VERSIONS + "SELECT DISTINCT entity, entity_key, valid_from, valid_to FROM v",
     "p5_current": _P5_VERSIONS + "SELECT entity, entity_key, count(*) AS versions, min(valid_from) AS first_from,"
     " bool_or(valid_to = '9999-12-31') AS iscurrent FROM v GROUP BY entity, entity_key",
