@@ -97,37 +97,83 @@ def masked(c: Column) -> Column:
     return F.regexp_replace(hidden, r"(://[^:/@\s]+:)[^@/\s]+@", "$1***@")
 
 
+# Parts of a column's name -> what it holds, in this order; the first two are endings.
+SEMANTIC_ENDINGS = (("_sk", "foreign_key"), ("_id", "identifier"))
+SEMANTIC_PARTS = (
+    ("name first last", "person_name"), ("email", "email"), ("date time", "temporal"), ("price cost amount profit tax revenue coupon", "monetary_amount"),
+    ("quantity count number", "quantity"), ("flag", "categorical"),
+)
+# Parts of a column's name -> the stand-in for a lost value, in this order.
+DEFAULT_PARTS = (("_id _key sk_ pk_ fk_", "0"), ("_dts _date _time timestamp", "now"), ("_price _amount _qty _quantity _volume", "0"), ("_flag is_ has_", "false"))
+
+
 def semantic_type(name: str) -> str:
     """What a column holds, told by its name."""
-    n = name.lower()
-    rules = [
-        (("sk_", "_id", "id"), "identifier"), (("date", "_dts", "_ts", "time"), "temporal"), (("price", "amount", "fee", "tax", "commission", "cash"), "monetary"),
-        (("qty", "quantity", "count", "volume"), "quantity"), (("is", "flag"), "boolean"), (("email", "phone", "address", "name"), "personal"),
-    ]
-    for parts, kind in rules:
-        if any(n.startswith(p) if p in ("sk_", "is") else n.endswith(p) if p in ("_id", "id") else p in n for p in parts):
-            return kind
-    return "text"
-
-
-def default_value(name: str) -> object:
-    """A stand-in for a value that is gone, told by its column's name."""
-    n = name.lower()
-    if n.startswith("sk_") or n.endswith(("_id", "_key")):
-        return 0
-    if n.endswith(("_dts", "_date", "_time")):
-        return "now"
-    if n.endswith(("_price", "_amount", "_qty", "_quantity", "_fee", "_tax")):
-        return 0
-    return "false" if n.startswith("is_") or n.endswith("_flag") else ""
-
-
-def humanised_frequency(seconds: int) -> str:
-    for size, unit in ((86_400, "day"), (3_600, "hour"), (60, "minute")):
-        if seconds >= size and seconds % size == 0:
-            count = seconds // size
-            return f"every {unit}" if count == 1 else f"every {count} {unit}s"
-    return f"every {seconds} seconds"
+    lower = name.lower()
+    ending = next((kind for end, kind in SEMANTIC_ENDINGS if name.endswith(end)), None)
+    return ending or next((kind for parts, kind in SEMANTIC_PARTS if any(p in lower for p in parts.split())), "unknown")
+
+
+def default_value(name: str) -> Column:
+    """A stand-in for a value that is gone, told by its column's name: 0, the time of the query, false, or ''."""
+    lower = name.lower()
+    found = next((value for parts, value in DEFAULT_PARTS if any(p in lower for p in parts.split())), "")
+    return F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss") if found == "now" else F.lit(found)
+
+
+# Hours below which an interval is told in a unit, hours of the unit, its sign.
+INTERVALS = ((1, 1 / 60, "m"), (24, 1, "h"), (7 * 24, 24, "d"), (4 * 7 * 24, 7 * 24, "w"), (12 * 30 * 24, 30 * 24, "mo"), (float("inf"), 365 * 24, "y"))
+
+
+def humanised_frequency(seconds: float) -> str:
+    """``every_15m``, ``every_2h``, ``every_3w``: whole units, rounded down; below a minute in seconds."""
+    if seconds <= 0:
+        return "on_demand"
+    if seconds < 60:
+        return f"every_{int(seconds)}s"
+    hours = seconds / 3600
+    _, size, sign = next(i for i in INTERVALS if hours < i[0])
+    return f"every_{int(hours / size + 1e-9)}{sign}"
+
+
+# Tokens that mean a missing value.
+MISSING_TOKENS = ("", "null", "n/a", "unknown", "\\n")
+# Parts of a key's name that hold times, names that do not, the form of a time.
+TIME_PARTS, NOT_TIMES = ("time", "date", "lastupdated"), ("timezone", "time_zone", "timeformat", "time_format")
+TIME_FORM = r"^\d{4}-\d{2}-\d{2}"
+
+
+def is_missing_token(c: Column) -> Column:
+    return c.isNull() | F.lower(F.trim(c)).isin(*MISSING_TOKENS)
+
+
+def first_timestamp(df_columns: list[str]) -> Column:
+    """The first value, in column order, of a column named like a time that looks like one; null where there is none."""
+    named = [c for c in df_columns if c.lower() not in NOT_TIMES and any(p in c.lower() for p in TIME_PARTS)]
+    values = [F.col(f"`{c}`").cast("string") for c in named]
+    return F.coalesce(*[F.when(v.rlike(TIME_FORM), v) for v in values], F.lit(None).cast("string"))
+
+
+def record_id(ingestion_type: Column, source: Column, dataset: Column, run: Column, chunk: Column, path: Column, index: Column, payload: Column) -> Column:
+    """SHA-256 over the eight parts of a record's origin, null parts empty."""
+    parts = [F.coalesce(c.cast("string"), F.lit("")) for c in (ingestion_type, source, dataset, run, chunk, path, index, payload)]
+    return F.sha2(F.concat(*parts), 256)
+
+
+def short_hash(c: Column) -> Column:
+    return F.substring(F.sha2(c, 256), 1, 16)
+
+
+def template_annotation(name: str, templates: dict[str, dict]) -> dict | None:
+    """The template of a field: by its name, else the first whose name is part of it or holds it."""
+    lower = name.lower()
+    return templates.get(lower) or next((t for key, t in templates.items() if key in lower or lower in key), None)
+
+
+def time_range(c: Column) -> tuple[Column, Column]:
+    """Aggregates: the first and the last of the texts that look like times."""
+    known = F.when(c.rlike(TIME_FORM), c)
+    return F.min(known), F.max(known)
 
 
 def month_starts(first: Column, last: Column) -> Column:

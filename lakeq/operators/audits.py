@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeq.functions.scalars import audit_bool, is_blank, record_hash, safe_str
+from lakeq.operators.windows import last_known
 
 OPEN_END = "9999-12-31"
 
@@ -97,9 +98,101 @@ def flag_against_match(df: DataFrame, flag: str, other: DataFrame, on: dict[str,
 def version_as_of(facts: DataFrame, key: str, at: str, versions: DataFrame, version_key: str, start: str, end: str, take: list[str]) -> DataFrame:
     """Facts with the columns of the version valid at their time: start <= time < end, null end open.
 
-    The join is on the key; the interval is a residual condition, so nothing is paired across keys. Facts
-    without a version keep nulls.
+    Versions of a key do not overlap; of several with one start the one that ends last counts. Facts and versions are
+    swept together in the order of time, in blocks (``windows.last_known``): no fact meets more than one version, and a
+    key with a third of all rows is swept in many tasks. Facts without a version keep nulls.
     """
-    v = versions.select(F.col(version_key).alias("_k"), F.col(start).alias("_from"), F.col(end).alias("_to"), *take)
-    valid = (F.col(key) == F.col("_k")) & (F.col(at) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(at) < F.col("_to")))
-    return facts.join(v, valid, "left").drop("_k", "_from", "_to")
+    version = F.struct(F.col(end).cast("timestamp").alias("to"), *[F.col(c) for c in take])
+    far = F.lit("9999-12-31").cast("timestamp")
+    marks = versions.select(F.col(version_key).alias("_k"), F.col(start).cast("timestamp").alias("_at"), F.lit(0).alias("_tag"), F.coalesce(F.col(end).cast("timestamp"), far).alias("_to"), version.alias("_v"))
+    rows = facts.select(F.col(key).alias("_k"), F.col(at).cast("timestamp").alias("_at"), F.lit(1).alias("_tag"), far.alias("_to"), F.struct(*[F.col(f"`{c}`") for c in facts.columns]).alias("_row"))
+    swept = last_known(marks.unionByName(rows, allowMissingColumns=True), "_k", ["_at", "_tag", "_to"], "_v", "_now").filter("_tag = 1")
+    valid = F.col("_k").isNotNull() & F.col("_at").isNotNull() & (F.col("_now.to").isNull() | (F.col("_at") < F.col("_now.to")))
+    return swept.select("_row.*", *[F.when(valid, F.col(f"_now.{c}")).alias(c) for c in take])
+
+
+# Child table -> references as column=parent.key.
+FOREIGN_KEYS = {
+    "dim_account": "sk_customerid=dim_customer.sk_customerid sk_brokerid=dim_broker.sk_brokerid",
+    "dim_security": "sk_companyid=dim_company.sk_companyid",
+    "dim_company": "industryid=industry.in_id",
+    "dim_trade": "sk_accountid=dim_account.sk_accountid sk_securityid=dim_security.sk_securityid sk_companyid=dim_company.sk_companyid sk_closed_customerid=dim_customer.sk_customerid sk_traded_customerid=dim_customer.sk_customerid",
+    "fact_cash_balances": "sk_customerid=dim_customer.sk_customerid sk_accountid=dim_account.sk_accountid sk_date=dim_date.sk_date",
+    "fact_holdings": "sk_tradeid=dim_trade.sk_tradeid sk_customerid=dim_customer.sk_customerid sk_accountid=dim_account.sk_accountid sk_securityid=dim_security.sk_securityid sk_companyid=dim_company.sk_companyid sk_closedate=dim_date.sk_date sk_closetime=dim_time.sk_time",
+    "fact_market_history": "sk_securityid=dim_security.sk_securityid sk_companyid=dim_company.sk_companyid sk_date=dim_date.sk_date sk_fifty_two_week_high_date=dim_date.sk_date sk_fifty_two_week_low_date=dim_date.sk_date",
+    "fact_watches": "sk_customerid=dim_customer.sk_customerid sk_securityid=dim_security.sk_securityid sk_closedate=dim_date.sk_date",
+    "prospect": "sk_recorddateid=dim_date.sk_date sk_updatedateid=dim_date.sk_date",
+}
+
+
+def edges(keys: dict[str, str]) -> list[tuple[str, str, str, str]]:
+    """(child, column, parent, key) of every reference."""
+    return [(child, c, *target.split(".")) for child, text in keys.items() for c, _, target in (r.partition("=") for r in text.split())]
+
+
+def orphan_audit(tables: dict[str, DataFrame], keys: dict[str, str]) -> DataFrame:
+    """child_table, fk_column, parent_table, fk_value, rows: the orphans of every edge whose tables and columns are there.
+
+    References are counted per value before they meet the keys, so rows move only as distinct values.
+    """
+    out = None
+    for child, column, parent, key in edges(keys):
+        if child not in tables or parent not in tables or column not in tables[child].columns or key not in tables[parent].columns:
+            continue
+        counted = tables[child].groupBy(safe_str(F.col(column)).alias("fk_value")).agg(F.count(F.lit(1)).alias("rows")).filter(~F.col("fk_value").isin("", "0"))
+        lost = counted.join(tables[parent].select(safe_str(F.col(key)).alias("fk_value")).distinct(), "fk_value", "left_anti")
+        one = lost.select(F.lit(child).alias("child_table"), F.lit(column).alias("fk_column"), F.lit(parent).alias("parent_table"), "fk_value", "rows")
+        out = one if out is None else out.unionByName(one)
+    if out is None:
+        raise ValueError("no edge has both of its tables")
+    return out
+
+
+def overlap(left: DataFrame, right: DataFrame, on: dict[str, str]) -> DataFrame:
+    """matches: the distinct normalised keys of ``left`` that ``right`` has too; blank keys count for nothing."""
+    mine = left.select(*[safe_str(F.col(a)).alias(f"k{i}") for i, a in enumerate(on)]).distinct().filter(" OR ".join(f"k{i} <> ''" for i in range(len(on))))
+    theirs = right.select(*[safe_str(F.col(b)).alias(f"k{i}") for i, b in enumerate(on.values())]).distinct()
+    return mine.join(theirs, [f"k{i}" for i in range(len(on))], "left_semi").agg(F.count(F.lit(1)).alias("matches"))
+
+
+def compare_sources(sources: dict[str, DataFrame], threshold: float, max_lag_seconds: int) -> DataFrame:
+    """entity, attribute, sources, spread, lag_seconds, differs, late of (entity, attribute, value, at) from several sources.
+
+    The latest value of each source counts; ``spread`` is the greatest difference between sources, ``lag_seconds`` that of their times.
+    """
+    rows = None
+    for name, df in sources.items():
+        one = df.groupBy("entity", "attribute").agg(F.max_by("value", "at").alias("value"), F.max("at").alias("at")).withColumn("source", F.lit(name))
+        rows = one if rows is None else rows.unionByName(one)
+    seconds = F.unix_micros(F.col("at").cast("timestamp"))
+    out = rows.groupBy("entity", "attribute").agg(
+        F.count(F.lit(1)).alias("sources"), (F.max("value") - F.min("value")).alias("spread"), F.floor((F.max(seconds) - F.min(seconds)) / 1_000_000).alias("lag_seconds")
+    )
+    return out.filter("sources > 1").withColumn("differs", F.coalesce(F.col("spread") > threshold, F.lit(False))).withColumn("late", F.coalesce(F.col("lag_seconds") > max_lag_seconds, F.lit(False)))
+
+
+def baselines(tables: dict[str, DataFrame]) -> DataFrame:
+    """table_name, record_count, field_count, fields of each table."""
+    out = None
+    for name, df in tables.items():
+        one = df.agg(F.count(F.lit(1)).alias("record_count")).select(F.lit(name).alias("table_name"), "record_count", F.lit(len(df.columns)).alias("field_count"), F.lit(",".join(df.columns)).alias("fields"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def pre_aggregate(df: DataFrame, keys: list[str], sums: list[str], order: list[str]) -> DataFrame:
+    """One row per key: amounts summed, all other columns those of the first row by ``order``."""
+    rest = [c for c in df.columns if c not in (*keys, *sums)]
+    totals = [F.sum(F.col(c).cast("decimal(28,4)")).cast("double").alias(c) for c in sums]
+    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_first") if rest else F.lit(None).alias("_first")
+    return df.groupBy(*keys).agg(*totals, first).select(*keys, *sums, *[F.col(f"_first.{c}").alias(c) for c in rest]).select(*df.columns)
+
+
+def audit_summary(audits: dict[str, DataFrame]) -> DataFrame:
+    """audit, violations, passed of several lists of violations, and ``overall`` over all of them."""
+    out = None
+    for name, df in audits.items():
+        one = df.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("audit"), "violations")
+        out = one if out is None else out.unionByName(one)
+    total = out.agg(F.sum("violations").alias("violations")).select(F.lit("overall").alias("audit"), "violations")
+    return out.unionByName(total).withColumn("passed", F.col("violations") == 0)

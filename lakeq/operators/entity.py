@@ -5,14 +5,16 @@ from __future__ import annotations
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeq.functions.scalars import canonical_id, entity_text, signature
+from lakeq.functions.scalars import canonical_id, entity_text, geo_score, signature
 from lakeq.session import cut
 
 EXACT, RULE, FUZZY, PROBABLE = 1.0, 0.95, 0.88, 0.82
+#: Below this ratio the segments of short texts would be empty.
+LEAST_LIKENESS = 0.7
 
 
 def resolve_exact(df: DataFrame, entity_type: str, source: str, id_col: str, exact: list[str], rule: list[str]) -> DataFrame:
@@ -38,22 +40,35 @@ def similarity(left: pd.Series, right: pd.Series) -> pd.Series:
 
 
 def similar_texts(df: DataFrame, id_col: str, text_col: str, threshold: float = FUZZY) -> DataFrame:
-    """a < b, ratio of representatives whose normalised texts are alike, among texts that share a word.
+    """a < b, ratio of representatives whose normalised texts are alike. No pair is lost; meant for names, not documents.
 
-    Equal texts are folded to one representative (smallest id) before any pairing. A pair is made in the
-    block of its rarest shared words only: each text is filed under as many of its rarest words as any text
-    alike by ``threshold`` words would have to share one of.
+    Equal texts are folded to one representative (smallest id) before any pairing. A ratio of ``threshold`` leaves at
+    most k = (1 - threshold) * (both lengths) letters unmatched. So if the shorter text is cut into more than k
+    segments, one of them stands unchanged in the longer text, the n-th of them moved by n places at most. Texts meet
+    by (length, number, letters) of a segment; what the edit distance rules out is dropped in the JVM, before the ratio.
     """
-    texts = representatives(df, id_col, text_col)
-    worded = texts.select("rep", "text", F.explode(F.array_distinct(F.split("text", " "))).alias("word"))
-    counts = worded.groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
-    w = Window.partitionBy("rep").orderBy("freq", "word")
-    ranked = worded.join(counts, "word").withColumn("place", F.row_number().over(w)).withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("rep")))
-    filed = ranked.filter(F.col("place") <= F.col("size") - F.ceil(F.col("size") * 0.5) + 1).select("rep", "text", "word")
-    pairs = filed.alias("l").join(filed.alias("r"), (F.col("l.word") == F.col("r.word")) & (F.col("l.rep") < F.col("r.rep")))
-    near = F.least(F.length("l.text"), F.length("r.text")) * 2.0 / (F.length("l.text") + F.length("r.text")) >= threshold
-    alike = pairs.filter(near).select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b"), F.col("l.text").alias("x"), F.col("r.text").alias("y")).distinct()
-    return alike.withColumn("ratio", similarity("x", "y")).filter(F.col("ratio") >= threshold).select("a", "b", "ratio")
+    if threshold < LEAST_LIKENESS:
+        raise ValueError(f"texts less alike than {LEAST_LIKENESS} share no segment for certain")
+    texts = representatives(df, id_col, text_col).withColumn("len", F.length("text"))
+    longest = (2 - threshold) / threshold
+    most = lambda c: F.floor((1 - threshold) * (c + F.floor(c * longest + 1e-9)) + 1e-9).cast("int")
+    start = lambda n, parts, c: F.floor(n * c / parts).cast("int")
+    indexed = texts.withColumn("parts", F.least(most(F.col("len")) + 1, F.col("len"))).withColumn("n", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    at, end = start(F.col("n"), F.col("parts"), F.col("len")), start(F.col("n") + 1, F.col("parts"), F.col("len"))
+    segments = indexed.select(F.col("rep").alias("ra"), F.col("text").alias("x"), "len", "n", F.substr("text", at + 1, end - at).alias("piece"))
+    shortest = F.ceil(F.col("len") / longest - 1e-9).cast("int")
+    lengths = texts.withColumn("other", F.explode(F.sequence(F.greatest(shortest, F.lit(1)), F.col("len"))))
+    numbered = lengths.withColumn("parts", F.least(most(F.col("other")) + 1, F.col("other"))).withColumn("n", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    p, q = start(F.col("n"), F.col("parts"), F.col("other")), start(F.col("n") + 1, F.col("parts"), F.col("other"))
+    moved = numbered.withColumn("p", p).withColumn("size", q - p).withColumn("at", F.explode(F.sequence(F.greatest(F.col("p") - F.col("n"), F.lit(0)), F.col("p") + F.col("n"))))
+    probes = moved.filter(F.col("at") + F.col("size") <= F.col("len")).select(
+        F.col("rep").alias("rb"), F.col("text").alias("y"), F.col("other").alias("len"), "n", F.substr("text", F.col("at") + 1, F.col("size")).alias("piece"), F.col("len").alias("len_y")
+    ).distinct()
+    met = segments.join(probes, ["len", "n", "piece"]).filter("len < len_y OR ra < rb").filter("ra <> rb")
+    room = F.floor((1 - threshold) * (F.col("len") + F.col("len_y")) + 1e-9)
+    near = met.filter(F.levenshtein("x", "y") <= room).select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"), "x", "y").dropDuplicates(["a", "b"])
+    ordered = near.withColumn("ratio", F.greatest(similarity("x", "y"), similarity("y", "x")))
+    return ordered.filter(F.col("ratio") >= threshold).select("a", "b", "ratio")
 
 
 def representatives(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -85,3 +100,34 @@ def fuzzy_classes(df: DataFrame, id_col: str, text_col: str, threshold: float =
     by_text = texts.join(named, "rep").join(degree, "rep", "left").select("text", "cluster", F.coalesce("links", F.lit(0)).alias("links"))
     rows = df.select(F.col(id_col), entity_text(F.col(text_col)).alias("text"))
     return rows.join(by_text, "text", "left").select(id_col, F.coalesce("cluster", F.col(id_col)).alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
+
+
+def resolve(df: DataFrame, entity_type: str, source: str, id_col: str, exact: list[str], rule: list[str], text_col: str, place: tuple[str, str] | None = None) -> DataFrame:
+    """Crosswalk in tiers: exact fields, rule fields, then likeness of ``text_col``, else a new entity.
+
+    A row that exact and rule fields leave as new joins the class of the alike text with the highest score: fuzzy from
+    ``FUZZY``, probabilistic from ``PROBABLE``. The score is the ratio of the texts; with ``place`` (latitude and
+    longitude columns) three quarters of it and one quarter of nearness, where both rows have a place.
+    """
+    crosswalk = resolve_exact(df, entity_type, source, id_col, exact, rule)
+    texts = cut(representatives(df, id_col, text_col))
+    alike = similar_texts(df, id_col, text_col, PROBABLE)
+    links = alike.unionByName(alike.select(F.col("b").alias("a"), F.col("a").alias("b"), "ratio"))
+    score = F.col("ratio")
+    if place:
+        spots = df.select(F.col(id_col).alias("rep"), F.col(place[0]).cast("double").alias("lat"), F.col(place[1]).cast("double").alias("lon")).join(texts.select("rep"), "rep", "left_semi")
+        of = lambda side: spots.select(F.col("rep").alias(side), F.col("lat").alias(f"lat_{side}"), F.col("lon").alias(f"lon_{side}"))
+        links = links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+        near = geo_score(F.col("lat_a"), F.col("lon_a"), F.col("lat_b"), F.col("lon_b"))
+        score = F.when(near.isNull(), score).otherwise(0.75 * score + 0.25 * near)
+    best = links.withColumn("score", score).filter(F.col("score") >= PROBABLE).groupBy("a").agg(F.max(F.struct("score", -F.col("b").cast("long"))).alias("r")).select(F.col("a").alias("rep"), "r.score", F.expr("-r.col2").alias("partner"))
+    rows = df.select(F.col(id_col).cast("string").alias("source_entity_id"), entity_text(F.col(text_col)).alias("text")).join(texts, "text").join(best, "rep")
+    tier = rows.select("source_entity_id", "score", F.least("rep", "partner").cast("string").alias("class"))
+    joined = crosswalk.join(tier, "source_entity_id", "left")
+    taken = (F.col("match_method") == "new_entity") & F.col("score").isNotNull()
+    return joined.select(
+        "source_system", "entity_type", "source_entity_id",
+        F.when(taken, canonical_id(entity_type, F.concat(F.lit("like="), "class"))).otherwise(F.col("canonical_entity_id")).alias("canonical_entity_id"),
+        F.when(taken & (F.col("score") >= FUZZY), "fuzzy").when(taken, "probabilistic").otherwise(F.col("match_method")).alias("match_method"),
+        F.when(taken, F.round("score", 6)).otherwise(F.col("confidence_score")).alias("confidence_score"),
+    )

@@ -68,10 +68,50 @@ def outside_fences(df: DataFrame, fences: DataFrame, keys: list[str], value: str
     return df.join(fences.select(*keys, "low", "high"), keys).filter((F.col(value) < F.col("low")) | (F.col(value) > F.col("high"))).drop("low", "high")
 
 
+#: Blocks of the order's range in which the rows of a key are sorted.
+BLOCKS = 1024
+
+
+def last_known(df: DataFrame, key: str, order: list[str], value: str, out: str) -> DataFrame:
+    """Adds ``out``: the last non-null ``value`` of the key at or before the row, by ``order`` (the first a number or time).
+
+    The range of the order is cut into blocks. Rows are sorted within a (key, block); what the blocks before know is
+    one row per block, so a key with a third of all rows is sorted in many tasks.
+    """
+    first = order[0]
+    kind = dict(df.dtypes)[first]
+    number = F.unix_micros(F.col(first).cast("timestamp")) if kind.startswith(("timestamp", "date")) else F.col(first).cast("long")
+    low, high = df.agg(F.min(number), F.max(number)).first()
+    width = max(1, ((high or 0) - (low or 0)) // BLOCKS + 1)
+    placed = df.withColumn("_block", F.coalesce(F.floor((number - F.lit(low or 0)) / width), F.lit(-1)))
+    known = placed.filter(F.col(value).isNotNull()).groupBy(key, "_block").agg(F.max_by(value, F.struct(*order)).alias("_last"))
+    over = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    every = placed.select(key, "_block").distinct().join(known, [key, "_block"], "left")
+    carried = every.select(F.col(key).alias("_key"), F.col("_block").alias("_b"), F.last("_last", ignorenulls=True).over(over).alias("_before"))
+    inner = Window.partitionBy(key, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    both = placed.join(carried, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_block") == F.col("_b")), "left")
+    return both.withColumn(out, F.coalesce(F.last(value, ignorenulls=True).over(inner), F.col("_before"))).drop("_block", "_before", "_key", "_b")
+
+
 def forward_fill(df: DataFrame, key: str, order: list[str], value: str, out: str) -> DataFrame:
     """The last known value of the key at or before the row, and whether it was filled in."""
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(out, F.last(value, ignorenulls=True).over(w)).withColumn("is_imputed", F.col(value).isNull() & F.col(out).isNotNull())
+    return last_known(df, key, order, value, out).withColumn("is_imputed", F.col(value).isNull() & F.col(out).isNotNull())
+
+
+def mode_fill(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
+    """Null values replaced by the most frequent one of their group (of equals the smallest), with method and flag."""
+    counted = df.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
+    modes = counted.groupBy(key).agg(F.min_by(value, F.struct(-F.col("_n"), F.col(value))).alias("_mode"))
+    filled = df.join(modes, key, "left").withColumn(out, F.coalesce(value, "_mode"))
+    gone = F.col(value).isNull() & F.col("_mode").isNotNull()
+    return filled.withColumn("is_imputed", gone).withColumn("imputation_method", F.when(gone, "group_mode")).drop("_mode")
+
+
+def weighted_survivor(df: DataFrame, key: str, value: str, weight: Column) -> DataFrame:
+    """Per key the value with the greatest sum of weights, and its share of them (of equals the smallest value)."""
+    sums = df.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.sum(weight.cast("decimal(20,6)")).cast("double").alias("_w"))
+    best = sums.groupBy(key).agg(F.min_by(value, F.struct(-F.col("_w"), F.col(value))).alias(value), F.max("_w").alias("_top"), F.sum("_w").alias("_all"))
+    return best.select(key, value, F.round(F.try_divide("_top", "_all"), 6).alias("confidence"))
 
 
 def median_fill(df: DataFrame, key: str, value: str, out: str) -> DataFrame:

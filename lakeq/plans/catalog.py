@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeq.plans import core, problems
+from lakeq.plans import core, fault_plans, problems
 
-MODULES = [core, problems]
+MODULES = [core, fault_plans, problems]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

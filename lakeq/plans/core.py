@@ -6,27 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeq.functions import scalars, units
-from lakeq.operators import audits, drift, entity, faults, governance, medallion, quality, windows
+from lakeq.operators import audits, drift, entity, governance, medallion, quality, windows
+from lakeq.plans.registry import Registry
 from lakeq.session import table
 from lakeq.sources import lake_table
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+registry = Registry()
+QUERIES, ORACLE, query = registry.queries, registry.sql, registry.query
 REFERENCE_TIME = "1998-09-01"
 
 
-def query(sql: str | None = None):
-    """Registers a query under its function's name, with its SQL."""
-
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLE[f.__name__] = sql
-        return f
-
-    return add
-
-
 # -- gold ----------------------------------------------------------------------------------------------
 
 
@@ -261,9 +250,72 @@ def schema_validation(spark: SparkSession, d: str) -> DataFrame:
 # -- audits --------------------------------------------------------------------------------------------
 
 
-@query("SELECT rec_id, execution_broker_id FROM trade t WHERE execution_broker_id IS NOT NULL AND execution_broker_id <> 0 AND NOT EXISTS (SELECT 1 FROM dim_broker b WHERE b.sk_brokerid = t.execution_broker_id)")
+#: The references between the tables at hand: those of the warehouse, and those of feeds and documents.
+EDGES = {
+    **audits.FOREIGN_KEYS, "trade": "execution_broker_id=dim_broker.sk_brokerid s_symbol=dim_security.symbol", "daily_market": "dm_s_symb=dim_security.symbol", "documents": "symbol=dim_security.symbol",
+    "lineitem": "l_orderkey=orders.o_orderkey l_partkey=part.p_partkey l_suppkey=supplier.s_suppkey", "orders": "o_custkey=customer.c_custkey", "events": "user_id=customer.c_custkey",
+}
+EDGE_TABLES = ("dim_account", "dim_customer", "dim_broker", "dim_security", "dim_company", "trade", "daily_market", "documents", "lineitem", "orders", "part", "supplier", "customer", "events")
+
+
+def _edge_sql(child: str, column: str, parent: str, key: str) -> str:
+    norm = "lower(trim(coalesce(CAST({} AS VARCHAR), '')))"
+    return (
+        f"SELECT '{child}' AS child_table, '{column}' AS fk_column, '{parent}' AS parent_table, {norm.format(column)} AS fk_value, count(*) AS rows FROM {child}"
+        f" WHERE {norm.format(column)} NOT IN ('', '0') AND {norm.format(column)} NOT IN (SELECT {norm.format(key)} FROM {parent}) GROUP BY ALL"
+    )
+
+
+def _here(edge: tuple[str, str, str, str]) -> bool:
+    return edge[0] in EDGE_TABLES and edge[2] in EDGE_TABLES
+
+
+@query(" UNION ALL ".join(_edge_sql(*e) for e in audits.edges(EDGES) if _here(e)))
 def fk_orphans(spark: SparkSession, d: str) -> DataFrame:
-    return audits.orphans(table(spark, d, "trade"), "execution_broker_id", table(spark, d, "dim_broker"), "sk_brokerid").select("rec_id", "execution_broker_id")
+    """The orphans of every reference whose tables are there."""
+    return audits.orphan_audit({n: table(spark, d, n) for n in EDGE_TABLES}, EDGES)
+
+
+@query(
+    "SELECT count(*) AS matches FROM (SELECT DISTINCT lower(trim(coalesce(lastname, ''))) AS a, lower(trim(coalesce(firstname, ''))) AS b FROM dim_customer) c"
+    " WHERE (a <> '' OR b <> '') AND EXISTS (SELECT 1 FROM dim_broker x WHERE lower(trim(coalesce(x.lastname, ''))) = a AND lower(trim(coalesce(x.firstname, ''))) = b)"
+)
+def name_overlap(spark: SparkSession, d: str) -> DataFrame:
+    return audits.overlap(table(spark, d, "dim_customer"), table(spark, d, "dim_broker"), {"lastname": "lastname", "firstname": "firstname"})
+
+
+@query(
+    "WITH k AS (SELECT count(*) AS v FROM (SELECT sk_accountid FROM dim_account WHERE sk_accountid IS NULL OR TRUE QUALIFY sk_accountid IS NULL OR row_number() OVER (PARTITION BY sk_accountid ORDER BY batchid, status, accountdesc, taxstatus) > 1)),"
+    f" o AS (SELECT count(*) AS v FROM ({_edge_sql('dim_account', 'sk_brokerid', 'dim_broker', 'sk_brokerid')})), s AS (SELECT count(*) AS v FROM dim_account WHERE effectivedate IS NULL OR trim(effectivedate) = ''),"
+    " a AS (SELECT 'unique_keys' AS audit, v AS violations FROM k UNION ALL SELECT 'orphan_brokers', v FROM o UNION ALL SELECT 'blank_starts', v FROM s)"
+    " SELECT audit, violations, violations = 0 AS passed FROM (SELECT * FROM a UNION ALL SELECT 'overall', CAST(sum(violations) AS BIGINT) FROM a)"
+)
+def audit_overall(spark: SparkSession, d: str) -> DataFrame:
+    account = table(spark, d, "dim_account")
+    return audits.audit_summary(
+        {
+            "unique_keys": audits.repeated_keys(account, ["sk_accountid"], ["batchid", "status", "accountdesc", "taxstatus"]),
+            "orphan_brokers": audits.orphan_audit({"dim_account": account, "dim_broker": table(spark, d, "dim_broker")}, {"dim_account": "sk_brokerid=dim_broker.sk_brokerid"}),
+            "blank_starts": account.filter(scalars.is_blank(F.col("effectivedate"))),
+        }
+    )
+
+
+@query(
+    " UNION ALL ".join(f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS record_count, count(*)::INTEGER AS field_count, string_agg(column_name, ',' ORDER BY column_index) AS fields FROM duckdb_columns() WHERE table_name = '{t}'" for t in ("orders", "part", "trade"))
+)
+def table_baselines(spark: SparkSession, d: str) -> DataFrame:
+    return audits.baselines({n: table(spark, d, n) for n in ("orders", "part", "trade")})
+
+
+@query(
+    "WITH f AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderdate, o_orderkey) AS n FROM (SELECT o_custkey, o_orderstatus, o_totalprice, o_orderkey, o_orderdate FROM orders)),"
+    " s AS (SELECT o_custkey, o_orderstatus, CAST(sum(CAST(o_totalprice AS DECIMAL(28,4))) AS DOUBLE) AS t FROM orders GROUP BY ALL)"
+    " SELECT f.o_custkey, f.o_orderstatus, s.t AS o_totalprice, f.o_orderkey, f.o_orderdate FROM f JOIN s ON s.o_custkey = f.o_custkey AND s.o_orderstatus = f.o_orderstatus WHERE n = 1"
+)
+def pre_aggregated(spark: SparkSession, d: str) -> DataFrame:
+    orders = table(spark, d, "orders").select("o_custkey", "o_orderstatus", "o_totalprice", "o_orderkey", "o_orderdate")
+    return audits.pre_aggregate(orders, ["o_custkey", "o_orderstatus"], ["o_totalprice"], ["o_orderdate", "o_orderkey"])
 
 
 @query(
@@ -538,35 +590,15 @@ def entity_exact_rule(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query()
-def entity_fuzzy_classes(spark: SparkSession, d: str) -> DataFrame:
-    return entity.fuzzy_classes(table(spark, d, "dim_company").select("sk_companyid", "name"), "sk_companyid", "name")
-
-
-# -- faults --------------------------------------------------------------------------------------------
-
-LINES = faults.LineSpec(width=6, number=2, date=5, amount=4, key=(0, 1))
-LIMIT = 1_000_000.0
-
-
-def _lines(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "lineitem")
-    first = rows.groupBy("l_orderkey", "l_linenumber").agg(F.min(F.struct("l_partkey", "l_returnflag", "l_extendedprice", "l_shipdate")).alias("r"))
-    line = F.concat_ws("|", "l_orderkey", "l_linenumber", "r.l_partkey", "r.l_returnflag", F.col("r.l_extendedprice").cast("decimal(20,2)"), F.to_date("r.l_shipdate"))
-    return first.select((F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("line_id"), line.alias("line"))
-
-
-@query()
-def fault_scores(spark: SparkSession, d: str) -> DataFrame:
-    bad, manifest = faults.inject(_lines(spark, d), LINES, every=20)
-    return faults.score(faults.match(manifest, faults.detect(bad, LINES, LIMIT)), "error_type")
+def entity_tiers(spark: SparkSession, d: str) -> DataFrame:
+    """Crosswalk of brokers by exact, fuzzy and probabilistic likeness, with counts."""
+    brokers = table(spark, d, "dim_broker").withColumn("full_name", F.concat_ws(" ", "firstname", "lastname"))
+    return entity.resolve(brokers, "broker", "dim_broker", "sk_brokerid", ["email"], [], "full_name").groupBy("match_method").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("canonical_entity_id").alias("entities"))
 
 
 @query()
-def fault_recovery(spark: SparkSession, d: str) -> DataFrame:
-    bad, manifest = faults.inject(_lines(spark, d), LINES, every=20)
-    repaired = faults.repair(bad, faults.detect(bad, LINES, LIMIT), manifest, LINES)
-    back = repaired.join(_lines(spark, d).withColumnRenamed("line", "was"), "line_id")
-    return back.groupBy("strategy", "outcome").agg(F.count(F.lit(1)).alias("lines"), F.count_if(F.col("line").isNull() | (F.col("line") == F.col("was"))).alias("as_before"))
+def entity_fuzzy_classes(spark: SparkSession, d: str) -> DataFrame:
+    return entity.fuzzy_classes(table(spark, d, "dim_company").select("sk_companyid", "name"), "sk_companyid", "name")
 
 
 # -- governance ----------------------------------------------------------------------------------------
@@ -630,14 +662,51 @@ def chunk_coverage(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    "WITH c AS (SELECT symbol, max(sharesoutstanding) AS top, min(sharesoutstanding) AS low, count(DISTINCT sk_securityid) AS versions FROM dim_security WHERE symbol IS NOT NULL GROUP BY symbol)"
-    " SELECT symbol, versions, top - low AS spread FROM c WHERE top - low > 0"
+    "WITH t AS (SELECT s_symbol AS entity, arg_max(trade_price, (batchid, rec_id)) AS v, max(batchid) AS b FROM trade WHERE s_symbol IS NOT NULL AND trade_price IS NOT NULL GROUP BY 1),"
+    " m AS (SELECT dm_s_symb AS entity, arg_max(dm_close, (batchid, rec_id)) AS v, max(batchid) AS b FROM daily_market WHERE dm_s_symb IS NOT NULL AND dm_close IS NOT NULL GROUP BY 1)"
+    " SELECT t.entity, 'price' AS attribute, 2::BIGINT AS sources, abs(t.v - m.v) AS spread, CAST(abs(t.b - m.b) * 86400 AS BIGINT) AS lag_seconds, abs(t.v - m.v) > 50 AS differs, abs(t.b - m.b) > 1 AS late FROM t JOIN m ON m.entity = t.entity"
 )
 def cross_source_reconciliation(spark: SparkSession, d: str) -> DataFrame:
-    named = table(spark, d, "dim_security").filter("symbol IS NOT NULL").groupBy("symbol").agg(
-        (F.max("sharesoutstanding") - F.min("sharesoutstanding")).alias("spread"), F.count_distinct("sk_securityid").alias("versions")
-    )
-    return named.filter("spread > 0")
+    """The last price of a security by its trades against that of the market feed; a batch counts as a day."""
+
+    def last(name: str, symbol: str, value: str) -> DataFrame:
+        rows = table(spark, d, name).filter(F.col(symbol).isNotNull() & F.col(value).isNotNull())
+        best = rows.groupBy(F.col(symbol).alias("entity")).agg(F.max_by(value, F.struct("batchid", "rec_id")).alias("value"), F.max("batchid").alias("b"))
+        return best.select("entity", F.lit("price").alias("attribute"), "value", F.timestamp_seconds(F.col("b") * 86400).alias("at"))
+
+    return audits.compare_sources({"trade": last("trade", "s_symbol", "trade_price"), "market": last("daily_market", "dm_s_symb", "dm_close")}, 50, 86_400)
+
+
+@query("SELECT s_suppkey FROM supplier EXCEPT SELECT l_suppkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 49")
+def set_except(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "supplier").select("s_suppkey").subtract(table(spark, d, "lineitem").filter("l_returnflag = 'R' AND l_quantity > 49").select(F.col("l_suppkey").alias("s_suppkey")))
+
+
+@query("SELECT l_returnflag, l_linestatus, grouping(l_returnflag)::INTEGER AS all_flags, count(*) AS n FROM lineitem GROUP BY GROUPING SETS ((l_returnflag, l_linestatus), (l_linestatus), ())")
+def grouping_sets(spark: SparkSession, d: str) -> DataFrame:
+    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
+    return table(spark, d, "lineitem").groupingSets([[flag, status], [status], []], flag, status).agg(F.grouping("l_returnflag").cast("int").alias("all_flags"), F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT l_shipdate, l_returnflag, count(*) AS n FROM lineitem GROUP BY ROLLUP (l_shipdate, l_returnflag)")
+def rollup_counts(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "lineitem").rollup("l_shipdate", "l_returnflag").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "WITH v AS (SELECT sk_customerid, customerid, tier FROM dim_customer), c AS (SELECT customerid, tier, count(*) AS n FROM v WHERE tier IS NOT NULL GROUP BY ALL), m AS (SELECT customerid, arg_min(tier, (-n, tier)) AS mode FROM c GROUP BY customerid)"
+    " SELECT sk_customerid, coalesce(tier, mode) AS filled, tier IS NULL AND mode IS NOT NULL AS is_imputed FROM v LEFT JOIN m ON m.customerid = v.customerid"
+)
+def impute_mode(spark: SparkSession, d: str) -> DataFrame:
+    return windows.mode_fill(table(spark, d, "dim_customer").select("sk_customerid", "customerid", "tier"), "customerid", "tier", "filled").select("sk_customerid", "filled", "is_imputed")
+
+
+@query(
+    "WITH s AS (SELECT customerid, city, CAST(sum(CAST(batchid AS DECIMAL(20,6))) AS DOUBLE) AS w FROM dim_customer WHERE city IS NOT NULL GROUP BY ALL)"
+    " SELECT customerid, arg_min(city, (-w, city)) AS city, round(max(w) / sum(w), 6) AS confidence FROM s GROUP BY customerid"
+)
+def survivorship_weighted(spark: SparkSession, d: str) -> DataFrame:
+    return windows.weighted_survivor(table(spark, d, "dim_customer"), "customerid", "city", F.col("batchid"))
 
 
 @query("SELECT DISTINCT l_suppkey FROM lineitem WHERE l_returnflag = 'R' INTERSECT SELECT s_suppkey FROM supplier WHERE s_acctbal > 0")

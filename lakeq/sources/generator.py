@@ -18,7 +18,7 @@ def _column(name: str, kind: str, seed: int) -> Column:
     if kind == "number":
         return (u(1_000_000) / 100.0).cast("double")
     if kind == "integer":
-        return F.col("id") + 1 if semantic_type(name) == "identifier" and name.startswith("sk_") else u(100_000) + 1
+        return F.col("id") + 1 if name.startswith("sk_") else u(100_000) + 1
     if semantic_type(name) == "temporal":
         return F.date_add(F.lit("2012-01-01").cast("date"), u(1_300).cast("int")).cast("string")
     return F.concat(F.lit(name[:4] + "_"), F.substring(F.md5(F.concat(F.lit(f"{seed}{name}"), F.col("id").cast("string"))), 1, 8))

@@ -1,8 +1,10 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from lakeq.functions import scalars, units
-from lakeq.operators import drift, entity, faults, governance, medallion, quality, windows
+from lakeq.operators import drift, entity, faults, governance, medallion, quality, scoring, windows
 from tests.conftest import rows
 
 
@@ -52,9 +54,6 @@ def test_auto_fix_merges_and_fills(spark):
 
 def test_names():
     assert [scalars.clean_name(n) for n in ("Start_Time", "Distance(mi)", " Full Name ")] == ["start_time", "distance_mi", "full_name"]
-    assert scalars.default_value("sk_customerid") == 0 and scalars.default_value("trade_dts") == "now" and scalars.default_value("is_cash") == "false" and scalars.default_value("note") == ""
-    assert scalars.humanised_frequency(3600) == "every hour" and scalars.humanised_frequency(7200) == "every 2 hours"
-    assert scalars.semantic_type("trade_price") == "monetary" and scalars.semantic_type("sk_brokerid") == "identifier"
 
 
 def test_scalar_columns(spark):
@@ -117,17 +116,92 @@ def test_clusters_of_a_chain(spark):
     assert all(out[i] == 0 for i in range(20)) and out[31] == 30 and out[35] == 35
 
 
+def ratios(texts, threshold):
+    from difflib import SequenceMatcher
+
+    best = lambda x, y: max(SequenceMatcher(None, x, y).ratio(), SequenceMatcher(None, y, x).ratio())
+    return {(i, j) for i, x in enumerate(texts) for j, y in enumerate(texts) if i < j and x != y and best(x, y) >= threshold}
+
+
+@pytest.mark.parametrize("threshold", [0.7, 0.82, 0.88])
+def test_no_alike_texts_are_lost(spark, threshold):
+    rng = random.Random(int(threshold * 100))
+    names = ["zenithworks", "zenithwork", "acme holdings", "acmee holdingz", "ab", "abc", "a"]
+    for _ in range(120):
+        base = rng.choice(names[:4]) if rng.random() < 0.3 else "".join(rng.choice("abcde ") for _ in range(rng.randint(1, 18)))
+        letters = list(base)
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(letters) + 1)
+            letters[at : at + rng.randint(0, 1)] = rng.choice(["x", "", "a"])
+        names.append("".join(letters))
+    texts = sorted({" ".join(n.split()) for n in names} - {""})
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, name string")
+    assert {(r.a, r.b) for r in entity.similar_texts(df, "id", "name", threshold).collect()} == ratios(texts, threshold)
+
+
+def test_entity_tiers(spark):
+    df = spark.createDataFrame([(1, "T1", "acme holdings", 1.0, 1.0), (2, None, "zenithworks", 5.0, 5.0), (3, None, "zenithwork", 5.0, 5.0), (4, None, "zenithwurk", 60.0, 5.0), (5, None, "other", None, None)], "id long, tax string, name string, lat double, lon double")
+    got = {r.source_entity_id: r for r in entity.resolve(df, "company", "s", "id", ["tax"], [], "name", ("lat", "lon")).collect()}
+    assert [got[str(n)].match_method for n in (1, 2, 3, 5)] == ["exact", "fuzzy", "fuzzy", "new_entity"]
+    assert got["2"].canonical_entity_id == got["3"].canonical_entity_id != got["4"].canonical_entity_id
+
+
 def test_faults_come_back(spark):
-    spec = faults.LineSpec(width=3, number=1, date=2, amount=1, key=(0,))
-    lines = spark.createDataFrame([(1, "a|100|2024-01-01"), (2, "b|200|2024-01-01"), (3, "c|300|2024-01-01")], "line_id long, line string")
-    bad = spark.createDataFrame([(1, 0, "a|NOT_A_NUMBER|2024-01-01"), (2, 0, "b|200|2024-01-01|EXTRA001"), (3, 0, "c|300|2024-01-01"), (3, 1, "c|300|2024-01-01")], "line_id long, copy int, line string")
-    manifest = spark.createDataFrame([(1, "type_error", 1, "100", "type_coercion_error"), (2, "extra_field", None, None, "field_count_mismatch"), (3, "duplicate_pk", None, None, "duplicate_primary_key")], "line_id long, mutation_type string, field int, original_value string, expected_detection string")
-    found = faults.detect(bad, spec, 1e6)
-    assert tuple(faults.score(faults.match(manifest, found)).first())[:3] == (3, 0, 0)
+    spec = faults.LineSpec(width=6, number=1, date=2, amount=3, key=(0,), stamp=4, text=5, net=1)
+    clean = "|100|2024-01-01|7.50|2024-01-01 10:00:00|x"
+    lines = spark.createDataFrame([(n, f"{n}{clean}") for n in (1, 2, 3, 4)], "line_id long, line string")
+    bad = spark.createDataFrame(
+        [(1, 0, f"1{clean}".replace("|100|", "|NOT_A_NUMBER|")), (2, 0, f"2{clean}|EXTRA001"), (3, 0, f"3{clean}"), (3, 1, f"3{clean}"), (4, 0, f"4{clean}".replace("2024-01-01 10", "01/01/2024 10"))],
+        "line_id long, copy int, line string",
+    )
+    manifest = spark.createDataFrame(
+        [(1, "type_error", 1, "100", "type_coercion_error"), (2, "extra_field", None, None, "field_count_mismatch"), (3, "duplicate_pk", None, None, "duplicate_primary_key"), (4, "timestamp_format_changed", 4, "2024-01-01 10:00:00", "timestamp_parse_error")],
+        "line_id long, mutation_type string, field int, original_value string, expected_detection string",
+    )
+    found = faults.detect(bad, spec, 1e6, lines.select("line_id", F.lit(7.5).alias("amount")))
+    assert rows(faults.score(faults.match(manifest, found)).select("tp", "fp", "fn")) == [(4, 0, 0)]
+    was = {r.line_id: r.line for r in lines.collect()}
     fixed = {r.line_id: r for r in faults.repair(bad, found, manifest, spec).collect()}
-    assert {i: r.outcome for i, r in fixed.items()} == {1: "repaired", 2: "repaired", 3: "repaired"} and fixed[1].line == "a|100|2024-01-01" and fixed[2].line == "b|200|2024-01-01" and fixed[3].line is None
+    assert {r.outcome for r in fixed.values()} == {"repaired"} and all(fixed[n].line == was[n] for n in (1, 2, 4)) and fixed[3].line is None
     alone = {r.line_id: r for r in faults.repair(bad, found, None, spec).collect()}
-    assert alone[1].outcome == "candidate" and alone[1].line == "a|0|2024-01-01" and lines.count() == 3
+    assert (alone[1].outcome, alone[4].outcome, alone[4].line) == ("candidate", "candidate", was[4])
+
+
+def test_matching_takes_ids_then_fields_then_sources(spark):
+    manifest = spark.createDataFrame(
+        [(1, "m1", "a", "s", "f", 1), (2, None, "a", "s", "f", 2), (3, None, "a", "s", None, None), (4, None, "a", "s", "g", 9), (5, None, "b", "s", None, None)],
+        "fault long, mutation_id string, error_type string, source_name string, file string, line_id long",
+    )
+    found = spark.createDataFrame(
+        [(1, "m1", "z", "t", None, None), (2, None, "a", "s", "f", 2), (3, None, "a", "s", "h", 3), (4, None, "a", "s", "h", 4), (5, None, "c", "s", None, None)],
+        "finding long, mutation_id string, error_type string, source_name string, file string, line_id long",
+    )
+    pairs, missed, false = scoring.match(manifest, found)
+    got = rows(pairs)
+    assert got[:2] == [(1, 1), (2, 2)] and sorted(b for _, b in got) == [1, 2, 3, 4] and [a for a, _ in got] == [1, 2, 3, 4] and rows(missed.select("fault")) == [(5,)] and rows(false.select("finding")) == [(5,)]
+
+
+def test_numbering_one_hot_key(spark):
+    df = spark.range(3000).select("id", F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    got = scoring.numbered(df, ["k"], "id")
+    assert got.filter("k = 'hot'").select("rn").distinct().count() == 2000 and got.filter("k = 'hot'").agg(F.max("rn")).first()[0] == 2000 and got.filter("k <> 'hot' AND rn <> 1").count() == 0
+
+
+def test_units_are_parsed(spark):
+    said = {"Micrograms per cubic meter": "ug/m3", "\u00b5g/m\u00b3": "ug/m3", "ug / m^3": "ug/m3", "kilometres per hour": "km/h", "kmh": "km/h", "meters per second": "m/s", "Miles": "mi", "metres": "m", "\u00b0C": "c", "ppm": "ppm", "": "", None: ""}
+    got = spark.createDataFrame([(k,) for k in said], "u string").select(units.unit_key(F.col("u"))).collect()
+    assert [r[0] for r in got] == list(said.values())
+
+
+def test_names_tell_types_defaults_and_intervals(spark):
+    assert [scalars.semantic_type(n) for n in ("customer_sk", "trade_id", "last_name", "email1", "trade_date", "fee_amount", "quantity", "is_flag", "zz")] == ["foreign_key", "identifier", "person_name", "email", "temporal", "monetary_amount", "quantity", "categorical", "unknown"]
+    got = spark.range(1).select(*[scalars.default_value(n).alias(n) for n in ("pk_x", "trade_dts", "dm_volume", "has_cash", "note")]).first()
+    assert (got[0], got[2], got[3], got[4]) == ("0", "0", "false", "") and len(got[1]) == 19
+    assert [scalars.humanised_frequency(s) for s in (0, 30, 900, 7200, 2 * 86400, 21 * 86400, 90 * 86400, 800 * 86400)] == ["on_demand", "every_30s", "every_15m", "every_2h", "every_2d", "every_3w", "every_3mo", "every_2y"]
+    row = spark.createDataFrame([("UTC", "n/a", "2024-01-05T10:00:00", "2023-01-01")], "timezone string, event_time string, updated_at_date string, date string")
+    assert row.select(scalars.first_timestamp(row.columns)).first()[0] == "2024-01-05T10:00:00"
+    templates = {"id": {"role": "identifier"}, "created_at": {"role": "timestamp"}}
+    assert scalars.template_annotation("CREATED_AT", templates)["role"] == "timestamp" and scalars.template_annotation("grid", templates)["role"] == "identifier" and scalars.template_annotation("zz", templates) is None
 
 
 def test_dead_letters(spark):
