@@ -27,6 +27,22 @@ def backoff_seconds(attempt: Column, base: float = 1.0, most: float = 60.0) -> C
     return F.least(F.lit(most), F.lit(base) * F.pow(F.lit(2.0), attempt - 1))
 
 
+def dlq_record(failed: DataFrame, source: str, error: Column, at: Column) -> DataFrame:
+    """Dead letters of rows: entry_id, source, error, payload, status, attempts, captured_at, next_retry."""
+    body = F.to_json(F.struct(*[F.col(f"`{c}`") for c in failed.columns]), {"ignoreNullFields": "false"})
+    return failed.select(
+        F.sha2(F.concat_ws("|", F.lit(source), error, body), 256).alias("entry_id"), F.lit(source).alias("source"), error.alias("error"), body.alias("payload"),
+        F.lit("pending").alias("status"), F.lit(0).alias("attempts"), at.alias("captured_at"), F.lit(None).cast("timestamp").alias("next_retry"),
+    )
+
+
+def dlq_archive(dlq: DataFrame, now: Column, days: int) -> tuple[DataFrame, DataFrame]:
+    """(letters that stay, letters to archive): captured more than ``days`` days ago and no longer pending."""
+    old = (F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.col("captured_at").cast("timestamp")) > days * 86_400_000_000) & (F.col("status") != "pending")
+    gone = F.coalesce(old, F.lit(False))
+    return dlq.filter(~gone), dlq.filter(gone)
+
+
 def dlq_due(dlq: DataFrame, now: Column, max_attempts: int = 3, limit: int = 100) -> DataFrame:
     """The next letters to try again: pending, due, attempts left, oldest first. The limit is the batch size of a replay."""
     ready = dlq.filter((F.col("status") == "pending") & (F.col("attempts") < max_attempts) & (F.col("next_retry").isNull() | (F.col("next_retry") <= now)))
@@ -113,19 +129,27 @@ def gaps(marks: DataFrame, now: Column, threshold_minutes: int = 30) -> DataFram
     return marks.withColumn("gap_minutes", minutes).withColumn("needs_backfill", minutes > threshold_minutes)
 
 
+#: Arrivals of a block, about, and blocks whose maxima are folded into one.
+LATE_BLOCK, LATE_FAN = 65_536, 1024
+
+
 def split_late(df: DataFrame, at: str, lateness_seconds: int, order: str) -> DataFrame:
-    """Adds is_late: the row is older than the latest row before it in its block of arrivals less the lateness.
+    """Adds is_late: the row is older than the latest row before it less the lateness.
 
-    ``order`` numbers arrivals. The running maximum is built from block maxima, never over all rows in one task.
+    ``order`` numbers arrivals, which are cut into blocks by their spread. The running maximum is built from block
+    maxima, and those from maxima of groups of blocks, so no window holds more than ``LATE_FAN`` blocks of a group.
     """
     from pyspark.sql import Window
 
-    micros = F.unix_micros(F.col(at).cast("timestamp"))
-    placed = df.withColumn("_at", micros).withColumn("_block", F.expr(f"`{order}` div 65536"))
-    maxima = placed.groupBy("_block").agg(F.max("_at").alias("_top"))
-    before = maxima.withColumn("_before", F.max("_top").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))).drop("_top")
+    low, high, n = df.agg(F.min(order), F.max(order), F.count(order)).first()
+    width = max(1, int(LATE_BLOCK * ((high or 0) - (low or 0) + 1) / max(n, 1)))
+    placed = df.withColumn("_at", F.unix_micros(F.col(at).cast("timestamp"))).withColumn("_block", F.floor((F.col(order) - F.lit(low or 0)) / width))
+    maxima = placed.groupBy("_block").agg(F.max("_at").alias("_top")).withColumn("_group", F.floor(F.col("_block") / LATE_FAN))
+    before = lambda *by: Window.partitionBy(*[F.lit(0), *by]).orderBy(F.col("_block") if by else F.col("_group")).rowsBetween(Window.unboundedPreceding, -1)
+    groups = maxima.groupBy("_group").agg(F.max("_top").alias("_g")).withColumn("_outer", F.max("_g").over(before())).drop("_g")
+    known = maxima.join(groups, "_group").withColumn("_before", F.greatest(F.max("_top").over(before("_group")), F.col("_outer"))).select("_block", "_before")
     inner = Window.partitionBy("_block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    seen = placed.join(before, "_block").withColumn("_seen", F.greatest(F.max("_at").over(inner), F.col("_before")))
+    seen = placed.join(known, "_block").withColumn("_seen", F.greatest(F.max("_at").over(inner), F.col("_before")))
     return seen.withColumn("is_late", F.col("_at") < F.col("_seen") - lateness_seconds * 1_000_000).drop("_at", "_block", "_before", "_seen")
 
 

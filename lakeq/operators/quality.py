@@ -107,18 +107,30 @@ class Expectation:
 
 
 def expectation_suite(df: DataFrame, suite: list[Expectation]) -> DataFrame:
-    """expectation, column_name, success, unexpected, percent. One aggregate; unique keys are counted in it too."""
-    aggregates, have = [F.count(F.lit(1)).alias("n")], set(df.columns)
+    """expectation, column_name, success, unexpected, percent.
+
+    One aggregate for all but unique keys; each of those is a count per key (``params['columns']`` for keys of several
+    columns; null keys are no duplicates), so no row is multiplied for it.
+    """
+    have, aggregates, parts, plain = set(df.columns), [F.count(F.lit(1)).alias("n")], [], []
     for i, e in enumerate(suite):
         c = F.col(e.column) if e.column in have else None
-        if e.kind == "row_count":
+        if e.kind == "unique":
+            keys = e.params.get("columns", [e.column])
+            if all(k in have for k in keys):
+                known = F.lit(True)
+                for k in keys:
+                    known = known & F.col(k).isNotNull()
+                counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("c"))
+                parts.append(counted.agg(F.lit(i).alias("at"), F.coalesce(F.sum(F.when(known, F.col("c") - 1)), F.lit(0)).alias("unexpected"), F.coalesce(F.sum("c"), F.lit(0)).alias("n")))
+                continue
+            bad = F.lit(1)
+        elif e.kind == "row_count":
             bad = F.when(F.count(F.lit(1)) >= e.params.get("min", 1), 0).otherwise(1)
         elif c is None or e.kind == "exists":
             bad = F.lit(0 if c is not None else 1)
         elif e.kind == "not_null":
             bad = F.count_if(is_missing(c))
-        elif e.kind == "unique":
-            bad = F.count(c) - F.count_distinct(c)
         elif e.kind == "in_set":
             bad = F.count_if(~c.isin(*e.params["values"]))
         elif e.kind == "between":
@@ -126,27 +138,63 @@ def expectation_suite(df: DataFrame, suite: list[Expectation]) -> DataFrame:
         else:
             bad = F.count_if(~is_missing(c) & c.cast("string").try_cast("timestamp").isNull())
         aggregates.append(bad.cast("long").alias(f"e{i}"))
-    rows = F.array(*[F.struct(F.lit(e.kind).alias("expectation"), F.lit(e.column).alias("column_name"), F.col(f"e{i}").alias("unexpected")) for i, e in enumerate(suite)])
-    out = df.agg(*aggregates).select("n", F.inline(rows))
+        plain.append(i)
+    rows = F.array(*[F.struct(F.lit(i).alias("at"), F.col(f"e{i}").alias("unexpected")) for i in plain]) if plain else F.array().cast("array<struct<at:int,unexpected:bigint>>")
+    out = df.agg(*aggregates).select(F.inline(rows), "n").select("at", "unexpected", "n")
+    for part in parts:
+        out = out.unionByName(part)
+    names = F.array(*[F.struct(F.lit(e.kind).alias("expectation"), F.lit(e.column or "+".join(e.params.get("columns", []))).alias("column_name")) for e in suite])
+    named = out.select(F.get(names, F.col("at")).alias("e"), "unexpected", "n").select("e.*", "unexpected", "n")
     percent = F.when(F.col("expectation").isin("row_count", "exists"), F.lit(0.0)).otherwise(F.coalesce(F.try_divide(F.col("unexpected") * 100.0, F.col("n")), F.lit(0.0)))
-    return out.select("expectation", "column_name", (F.col("unexpected") == 0).alias("success"), "unexpected", percent.alias("percent"))
+    return named.select("expectation", "column_name", (F.col("unexpected") == 0).alias("success"), "unexpected", percent.alias("percent"))
 
 
 def suite_of(required: list[str], keys: list[str], sets: dict[str, list] | None = None) -> list[Expectation]:
-    """The suite a contract implies."""
+    """The suite a contract implies; a key of several columns is unique as a whole."""
     out = [Expectation("row_count")]
     out += [Expectation(kind, c) for c in required for kind in ("exists", "not_null")]
-    out += [Expectation("unique", c) for c in keys] if len(keys) == 1 else []
+    if keys:
+        out.append(Expectation("unique", keys[0]) if len(keys) == 1 else Expectation("unique", "", {"columns": keys}))
     return out + [Expectation("in_set", c, {"values": v}) for c, v in (sets or {}).items()]
 
 
+def rules_of(entries: list[dict]) -> list[Rule]:
+    """Rules from parsed configuration: name, column, type, severity and the parameters of the type."""
+    return [Rule(e["name"], e.get("column", ""), e.get("type", ""), e.get("severity", "error"), {k: v for k, v in e.items() if k not in ("name", "column", "type", "severity")}) for e in entries]
+
+
+def load_rules(path: str) -> list[Rule]:
+    """Rules from the ``rules`` list of a YAML file."""
+    import yaml
+
+    with open(path) as file:
+        return rules_of((yaml.safe_load(file) or {}).get("rules", []))
+
+
+def normal_schema(schema: dict) -> dict:
+    """A JSON schema with clean column names."""
+    return {**schema, "properties": {clean_name(k): v for k, v in schema.get("properties", {}).items()}, "required": [clean_name(k) for k in schema.get("required", [])]}
+
+
 # -- schema --------------------------------------------------------------------------------------------
 
 COERCIONS = {"integer": "bigint", "number": "double", "boolean": "boolean", "string": "string"}
 
 
-def compile_schema(schema: dict) -> list[tuple[str, Column]]:
-    """(message, failed) for each check of a JSON schema over string or typed columns."""
+FORMATS = {
+    "date": lambda c: c.rlike(r"^\d{4}-\d{2}-\d{2}$") & c.try_cast("date").isNotNull(),
+    "date-time": lambda c: c.rlike(r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}:\d{2}") & c.try_cast("timestamp").isNotNull(),
+    "email": lambda c: c.rlike(r"^[^@\s]+@[^@\s]+$"),
+    "uri": lambda c: c.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:\S+$"),
+}
+
+
+def compile_schema(schema: dict, dtypes: dict[str, str] | None = None) -> list[tuple[str, Column]]:
+    """(message, failed) for each check of a JSON schema over string or typed columns.
+
+    Objects and arrays are checked where a column holds them as JSON text (``dtypes`` tells, strings by default).
+    """
+    dtypes = dtypes or {}
     checks = []
     for name, spec in schema.get("properties", {}).items():
         c = F.col(name)
@@ -162,6 +210,14 @@ def compile_schema(schema: dict) -> list[tuple[str, Column]]:
             for word, test in (("minimum", lambda v: number < v), ("maximum", lambda v: number > v)):
                 if word in spec:
                     checks.append((f"{name} violates {word}", F.coalesce(test(spec[word]), F.lit(False))))
+        if kind == "boolean":
+            checks.append((f"{name} is not of type boolean", c.isNotNull() & ~F.lower(c.cast("string")).isin("true", "false")))
+        if kind in ("object", "array") and "string" in dtypes.get(name, "string"):
+            opened = F.expr(f"try_parse_json(CAST(`{name}` AS STRING))")
+            checks.append((f"{name} is not of type {kind}", c.isNotNull() & ~F.coalesce(F.startswith(F.schema_of_variant(opened), F.lit(kind.upper())), F.lit(False))))
+        if spec.get("format") in FORMATS:
+            text = c.cast("string")
+            checks.append((f"{name} is no {spec['format']}", c.isNotNull() & ~F.coalesce(FORMATS[spec["format"]](text), F.lit(False))))
         if "enum" in spec:
             checks.append((f"{name} is not one of the enumeration", c.isNotNull() & ~c.isin(*spec["enum"])))
         if "pattern" in spec:
@@ -169,16 +225,16 @@ def compile_schema(schema: dict) -> list[tuple[str, Column]]:
     return checks
 
 
-def schema_errors(df: DataFrame, schema: dict, most: int = 20) -> DataFrame:
-    """message, rows of the first ``most`` checks that fail, unknown columns first: a report, not a filter."""
+def schema_errors(df: DataFrame, schema: dict, most: int | None = 20) -> DataFrame:
+    """message, rows of the first ``most`` checks that fail (None: all), unknown columns first: a report, not a filter."""
     unknown = [c for c in df.columns if schema.get("additionalProperties") is False and c not in schema.get("properties", {})]
     lacking = [c for c in schema.get("properties", {}) if c not in df.columns]
     checks = [(f"{c} is unexpected", F.lit(True)) for c in unknown]
-    checks += [(m, bad) for m, bad in compile_schema({**schema, "properties": {k: v for k, v in schema.get("properties", {}).items() if k in df.columns}})]
+    checks += [(m, bad) for m, bad in compile_schema({**schema, "properties": {k: v for k, v in schema.get("properties", {}).items() if k in df.columns}}, dict(df.dtypes))]
     checks += [(f"{c} is absent", F.lit(True)) for c in lacking if c in schema.get("required", [])]
     counts = df.agg(*[F.count_if(bad).alias(f"c{i}") for i, (_, bad) in enumerate(checks)])
     rows = F.array(*[F.struct(F.lit(i).alias("at"), F.lit(m).alias("message"), F.col(f"c{i}").alias("rows")) for i, (m, _) in enumerate(checks)])
-    return counts.select(F.inline(rows)).filter("rows > 0").orderBy("at").limit(most).drop("at")
+    return counts.select(F.inline(rows)).filter("rows > 0").orderBy("at").limit(len(checks) if most is None else most).drop("at")
 
 
 def coerce(df: DataFrame, kinds: dict[str, str]) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeq.functions import scalars, units
-from lakeq.operators import audits, drift, entity, governance, medallion, quality, windows
+from lakeq.operators import audits, bronze, drift, entity, governance, medallion, quality, windows
 from lakeq.plans.registry import Registry
-from lakeq.session import table
+from lakeq.session import shared_dir, table
 from lakeq.sources import lake_table
 
 registry = Registry()
@@ -528,6 +530,56 @@ def merge_upsert(spark: SparkSession, d: str) -> DataFrame:
     return lake_table.merged(base, delta, ["o_orderkey"], ["o_totalprice"])
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    """A fresh place in the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query(
+    "WITH delta AS (SELECT o_orderkey + 100 AS o_orderkey, o_totalprice * 2 AS o_totalprice FROM orders), new AS (SELECT max(o_orderkey) + 1000 AS o_orderkey, 1.0::DOUBLE AS o_totalprice FROM orders)"
+    " SELECT o_orderkey, o_totalprice FROM delta UNION ALL SELECT o_orderkey, o_totalprice FROM orders o WHERE NOT EXISTS (SELECT 1 FROM delta x WHERE x.o_orderkey = o.o_orderkey) UNION ALL SELECT * FROM new"
+)
+def lake_table_merge(spark: SparkSession, d: str) -> DataFrame:
+    """A table written, merged twice with the same rows, appended to, and read back."""
+    base = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    delta = base.select((F.col("o_orderkey") + 100).alias("o_orderkey"), (F.col("o_totalprice") * 2).alias("o_totalprice"))
+    lake = lake_table.LakeTable(spark, _folder(spark, "orders"))
+    lake.replace(base)
+    for _ in range(2):
+        lake.merge(delta, ["o_orderkey"], ["o_totalprice"])
+    lake.append(base.agg((F.max("o_orderkey") + 1000).alias("o_orderkey"), F.lit(1.0).alias("o_totalprice")))
+    return lake.read()
+
+
+@query("SELECT unnest(['csv', 'json', 'orc', 'parquet']) AS format, (SELECT count(*) FROM supplier) AS rows, (SELECT CAST(sum(s_suppkey) AS BIGINT) FROM supplier) AS keys")
+def export_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """A table exported in every format and read back."""
+    out, place = None, _folder(spark, "export")
+    for fmt in ("csv", "json", "orc", "parquet"):
+        lake_table.export(table(spark, d, "supplier").select("s_suppkey", "s_name"), f"{place}/{fmt}", fmt)
+        back = (spark.read.option("header", True) if fmt == "csv" else spark.read).format(fmt).load(f"{place}/{fmt}")
+        one = back.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("s_suppkey").cast("long")).alias("keys")).select(F.lit(fmt).alias("format"), "rows", "keys")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("SELECT user_id, max(ts) AS ts, arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY user_id")
+def stream_upserts(spark: SparkSession, d: str) -> DataFrame:
+    """The latest event of every user, merged into a table by a stream of files."""
+    place = _folder(spark, "stream")
+    events = table(spark, d, "events").select("user_id", "event_id", "ts")
+    events.withColumn("part", F.col("event_id") % 3).write.partitionBy("part").parquet(f"{place}/in")
+    lake = lake_table.LakeTable(spark, f"{place}/latest")
+    stream = spark.readStream.schema(events.schema).parquet(f"{place}/in")
+
+    def keep_latest(batch: DataFrame, _: int) -> None:
+        rows = batch if not lake.version() else batch.unionByName(lake.read().join(batch.select("user_id").distinct(), "user_id", "left_semi"))
+        lake.merge(rows, ["user_id"], ["ts", "event_id"])
+
+    stream.select("user_id", "event_id", "ts").writeStream.foreachBatch(keep_latest).option("checkpointLocation", f"{place}/state").trigger(availableNow=True).start().awaitTermination()
+    return lake.read().select("user_id", "ts", "event_id")
+
+
 _UNIT = "CASE p_size % 4 WHEN 0 THEN 'Fahrenheit' WHEN 1 THEN ' Kelvin ' WHEN 2 THEN '°C' ELSE 'furlong' END"
 
 
@@ -601,6 +653,54 @@ def entity_fuzzy_classes(spark: SparkSession, d: str) -> DataFrame:
     return entity.fuzzy_classes(table(spark, d, "dim_company").select("sk_companyid", "name"), "sk_companyid", "name")
 
 
+# -- the bronze gate -----------------------------------------------------------------------------------
+
+ACCOUNTS = bronze.Contract(
+    "dim_account", {"sk_accountid": "integer", "accountid": "integer", "status": "string", "accountdesc": "string", "taxstatus": "integer", "batchid": "integer", "effectivedate": "string"},
+    required=("sk_accountid", "accountdesc"), keys=("accountid", "batchid"), rules=(quality.Rule("status_known", "status", "in_set", params={"values": ["ACTV", "INAC", "PNDG", "CLSD"]}),),
+    timestamp="effectivedate", max_age_hours=2 * 365 * 24, max_duplicates=0.5,
+)
+GATE_TIME = "2015-08-01"
+
+
+def _raw_accounts(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "dim_account").select(*[F.col(c).cast("string").alias(c) for c in ACCOUNTS.kinds])
+
+
+_GATE = (
+    "WITH f AS (SELECT sk_accountid, accountid, batchid, nullif(trim(status), '') AS status, nullif(trim(accountdesc), '') AS accountdesc, nullif(trim(effectivedate), '') AS effectivedate FROM dim_account),"
+    " j AS (SELECT *, CASE WHEN sk_accountid IS NULL THEN 'sk_accountid is missing' WHEN accountdesc IS NULL THEN 'accountdesc is missing' WHEN status NOT IN ('ACTV', 'INAC', 'PNDG', 'CLSD') THEN 'status_known' END AS reason FROM f),"
+    " k AS (SELECT sum(n - 1) / CAST(sum(n) AS DOUBLE) AS duplicates FROM (SELECT count(*) AS n FROM f GROUP BY accountid, batchid)),"
+    " m AS (SELECT count(*) AS records, count(reason) AS quarantined, (count(*) FILTER (sk_accountid IS NULL) + count(*) FILTER (accountdesc IS NULL)) / (count(*) * 2.0::DOUBLE) AS missing,"
+    f" count(*) FILTER (epoch_us(TIMESTAMP '{GATE_TIME}') - epoch_us(TRY_CAST(effectivedate AS TIMESTAMP)) <= 2 * 365 * 24 * 3600000000) / CAST(count(*) AS DOUBLE) AS fresh FROM j)"
+)
+
+
+@query(
+    _GATE + ", v AS (SELECT *, concat_ws(',', CASE WHEN missing > 0.2 THEN 'missing_ratio' END, CASE WHEN duplicates > 0.5 THEN 'duplicate_ratio' END, CASE WHEN fresh < 0.8 THEN 'freshness_score' END) AS violations FROM m, k)"
+    " SELECT 'dim_account' AS dataset, records, records - quarantined AS published, quarantined, missing, duplicates, fresh, violations, true AS schema_valid,"
+    " CASE WHEN violations <> '' THEN 'failed' WHEN quarantined > 0 THEN 'warning' ELSE 'passed' END AS status FROM v"
+)
+def bronze_gate(spark: SparkSession, d: str) -> DataFrame:
+    """The metrics of the whole gate over the account snapshots as they arrive."""
+    return bronze.validate(_raw_accounts(spark, d), ACCOUNTS, F.lit(GATE_TIME).cast("timestamp")).metrics
+
+
+@query(_GATE + " SELECT 'dim_account' AS dataset, reason AS quarantine_reason, count(*) AS rows FROM j WHERE reason IS NOT NULL GROUP BY reason")
+def bronze_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    held = bronze.validate(_raw_accounts(spark, d), ACCOUNTS, F.lit(GATE_TIME).cast("timestamp")).quarantine
+    return governance.quarantine_summary(held).drop("first_key")
+
+
+@query(
+    _GATE + " SELECT CASE WHEN reason = 'status_known' THEN 'unrecoverable' ELSE 'candidate' END AS outcome, count(*) AS rows FROM j WHERE reason IS NOT NULL GROUP BY 1"
+)
+def quarantine_recovery(spark: SparkSession, d: str) -> DataFrame:
+    """What of the quarantine can be repaired: lost descriptions get a default, unknown states do not."""
+    held = bronze.validate(_raw_accounts(spark, d), ACCOUNTS, F.lit(GATE_TIME).cast("timestamp")).quarantine
+    return bronze.recover(held, ACCOUNTS).groupBy("outcome").agg(F.count(F.lit(1)).alias("rows"))
+
+
 # -- governance ----------------------------------------------------------------------------------------
 
 

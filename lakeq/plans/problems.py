@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeq.operators import feed_drift, history, orphans, parse_failures, timestamps
+from lakeq.operators import bronze, feed_drift, history, orphans, parse_failures, timestamps
 from lakeq.session import bounded_rows, cut, table
 
 CUSTOMER_ATTRIBUTES = [
@@ -60,6 +60,11 @@ def p1_load_counts(spark: SparkSession, d: str) -> DataFrame:
     return failed.join(loaded, "source_name", "left").select("source_name", "records", F.coalesce("loaded", F.lit(0)).alias("loaded"), "failed")
 
 
+def p1_source_report(spark: SparkSession, d: str) -> DataFrame:
+    """Records, malformed lines, lines with a wrong value and the status of every source."""
+    return bronze.parsed_report(_judged(spark, d)[0])
+
+
 def p1_assembled(spark: SparkSession, d: str) -> DataFrame:
     """The files rebuilt from their physical lines: records assembled per file and judged, per source."""
     physical = table(spark, d, "raw_lines").select(
@@ -305,6 +310,7 @@ QUERIES = {
     **{f"p1_typed_{source}": p1_typed(source) for source in RAW_SOURCES},
     "p1_load_counts": p1_load_counts,
     "p1_assembled": p1_assembled,
+    "p1_source_report": p1_source_report,
     "p1_error_counts": p1_error_counts,
     "p2_found": p2_found,
     "p2_report": p2_report,
@@ -331,6 +337,8 @@ ORACLE = {
     "p1_found": _P1_JUDGED + " SELECT DISTINCT line_id, reason FROM judged WHERE reason IS NOT NULL",
     "p1_error_counts": _P1_JUDGED + " SELECT source_name, count(*) AS records, count(*) FILTER (reason = 'broken_quoting') AS broken_quoting,"
     " count(*) FILTER (reason = 'field_count_mismatch') AS field_count_mismatch, count(*) FILTER (reason = 'invalid_value') AS invalid_value FROM judged GROUP BY source_name",
+    "p1_source_report": _P1_JUDGED + " SELECT source_name, count(*) AS records, count(*) FILTER (reason IN ('broken_quoting', 'field_count_mismatch')) AS malformed,"
+    " count(*) FILTER (reason = 'invalid_value') AS type_errors, CASE WHEN count(reason) > 0 THEN 'failed' ELSE 'passed' END AS status FROM judged GROUP BY source_name",
     "p1_load_counts": _P1_JUDGED + " SELECT source_name, count(*) AS records, count(*) FILTER (reason IS NULL) AS loaded, count(reason) AS failed FROM judged GROUP BY source_name",
     "p2_found": f"SELECT DISTINCT child_table, child_sk, fk_column FROM ({_P2_ROWS})",
     "p2_report": "SELECT child_table, fk_column, batchid, count(*) AS orphan_rows, count(DISTINCT k) AS orphan_keys"

@@ -45,6 +45,8 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lakeq-checkpoint-"))
         current = spark.sparkContext.getCheckpointDir()
     return current

@@ -110,7 +110,7 @@ def wire_records(lines: DataFrame, line: str = "line") -> DataFrame:
     """posting_ts, record_type, body of fixed-width wire lines; type '' for lines of 18 characters or fewer."""
     c = F.col(line)
     return lines.filter(F.trim(c) != "").select(
-        *[x for x in lines.columns if x != line], F.substring(c, 1, 15).alias("posting_ts"), F.when(F.length(c) > 18, F.substring(c, 16, 3)).otherwise("").alias("record_type"), F.substring(c, 19, 100_000).alias("body")
+        *[x for x in lines.columns if x != line], F.substring(c, 1, 15).alias("posting_ts"), F.when(F.length(c) > 18, F.substring(c, 16, 3)).otherwise("").alias("record_type"), F.substr(c, F.lit(19)).alias("body")
     )
 
 
@@ -126,20 +126,32 @@ def wire_fields(records: DataFrame, record_type: str) -> DataFrame:
 # -- XML and JSON --------------------------------------------------------------------------------------
 
 
+_PHONE = "struct<C_CTRY_CODE:string,C_AREA_CODE:string,C_LOCAL:string,C_EXT:string>"
+
+
+def _phone(c: Column) -> Column:
+    """``+1 (555) 123-4567 x9`` of the parts that are there; null without a local number."""
+    blank = lambda name: F.nullif(F.trim(c[name]), F.lit(""))
+    country, area, local, ext = (blank(n) for n in ("C_CTRY_CODE", "C_AREA_CODE", "C_LOCAL", "C_EXT"))
+    parts = F.concat_ws(" ", F.concat(F.lit("+"), country), F.concat(F.lit("("), area, F.lit(")")), local, F.concat(F.lit("x"), ext))
+    return F.when(local.isNotNull(), parts)
+
+
 def customer_actions(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(customers, accounts) of a customer-management file; accounts carry their action and customer."""
     schema = (
         "_ActionType string, _ActionTS string, Customer struct<_C_ID:string,_C_TAX_ID:string,_C_GNDR:string,_C_TIER:string,_C_DOB:string,"
         "Name:struct<C_L_NAME:string,C_F_NAME:string,C_M_NAME:string>,"
         "Address:struct<C_ADLINE1:string,C_ADLINE2:string,C_ZIPCODE:string,C_CITY:string,C_STATE_PROV:string,C_CTRY:string>,"
-        "ContactInfo:struct<C_PRIM_EMAIL:string,C_ALT_EMAIL:string>,"
+        "ContactInfo:struct<C_PRIM_EMAIL:string,C_ALT_EMAIL:string,C_PHONE_1:" + _PHONE + ",C_PHONE_2:" + _PHONE + ",C_PHONE_3:" + _PHONE + ">,"
         "Account:array<struct<_CA_ID:string,_CA_B_ID:string,_CA_TAX_ST:string,CA_NAME:string,CA_B_ID:string>>>"
     )
     actions = spark.read.format("xml").option("rowTag", "TPCDI:Action").schema(schema).load(path)
     customers = actions.select(
         F.col("_ActionType").alias("action_type"), F.col("_ActionTS").alias("action_ts"), F.col("Customer._C_ID").alias("c_id"), F.col("Customer._C_TAX_ID").alias("c_tax_id"),
         F.col("Customer._C_GNDR").alias("c_gndr"), F.col("Customer._C_TIER").alias("c_tier"), F.col("Customer._C_DOB").alias("c_dob"),
-        "Customer.Name.*", "Customer.Address.*", "Customer.ContactInfo.*",
+        "Customer.Name.*", "Customer.Address.*", "Customer.ContactInfo.C_PRIM_EMAIL", "Customer.ContactInfo.C_ALT_EMAIL",
+        *[_phone(F.col(f"Customer.ContactInfo.C_PHONE_{n}")).alias(f"phone{n}") for n in (1, 2, 3)],
     )
     accounts = actions.select(F.col("_ActionType").alias("action_type"), F.col("_ActionTS").alias("action_ts"), F.col("Customer._C_ID").alias("c_id"), F.explode("Customer.Account").alias("a")).select(
         "action_type", "action_ts", "c_id", F.col("a._CA_ID").alias("ca_id"), F.coalesce("a._CA_B_ID", "a.CA_B_ID").alias("ca_b_id"), F.col("a._CA_TAX_ST").alias("ca_tax_st"), F.col("a.CA_NAME").alias("ca_name")
@@ -193,6 +205,34 @@ def read_artifact(spark: SparkSession, path: str, row_tag: str = "row") -> DataF
     raise ValueError(f"no scan for .{suffix}")
 
 
+def partitioned_json(spark: SparkSession, path: str, schema: str | None = None, **partitions: object) -> DataFrame:
+    """JSON lines under ``key=value`` folders; the named partitions are pruned, not read."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    df = reader.json(path)
+    for name, value in partitions.items():
+        df = df.filter(F.col(name) == F.lit(value))
+    return df
+
+
+def audit_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """dataset, batch, date, attribute, value, number of a generator's audit files, clean and trimmed."""
+    rows = spark.read.option("header", True).option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).csv(paths)
+    names = {clean_name(c): c for c in rows.columns}
+    pick = lambda *options: next((F.col(f"`{names[o]}`") for o in options if o in names), F.lit(None).cast("string"))
+    return rows.select(
+        pick("dataset", "data_set").alias("dataset"), pick("batchid", "batch_id").try_cast("int").alias("batch"), pick("date").try_cast("date").alias("date"), pick("attribute").alias("attribute"),
+        pick("value").try_cast("bigint").alias("value"), pick("dvalue").try_cast("double").alias("number"),
+    )
+
+
+def first_readable(spark: SparkSession, path: str, encodings: tuple[str, ...] = ("UTF-8", "windows-1252")) -> str:
+    """The first of ``encodings`` in which no line of the files holds a replacement character, else the last."""
+    for encoding in encodings[:-1]:
+        if delimited_lines(spark, path, encoding).filter(F.col("line").contains("\ufffd")).isEmpty():
+            return encoding
+    return encodings[-1]
+
+
 def report_totals(spark: SparkSession, path: str) -> DataFrame:
     """name, total of the ``name: 1,234`` lines of a generator's report."""
     lines = spark.read.text(path)
