@@ -21,6 +21,7 @@ Defined cases
 from __future__ import annotations
 
 import json
+import re
 from collections import Counter
 from collections.abc import Iterator
 from decimal import Decimal, InvalidOperation
@@ -38,6 +39,10 @@ PROMOTED = ["null", "boolean", "integer", "number", "string"]
 SQL_TYPES = {"integer": "bigint", "number": "double", "boolean": "boolean", "string": "string", "null": "string"}
 
 
+#: What any finite number begins with; other texts need no attempt to read one.
+_NUMERIC = re.compile(r"\s*[+-]?\.?\d")
+
+
 # -- single values -------------------------------------------------------------------------------------
 
 
@@ -73,6 +78,8 @@ def content(value: object) -> str | None:
         return "true" if value else "false"
     if isinstance(value, (dict, list)):
         return json.dumps(value, sort_keys=True, default=str)
+    if isinstance(value, str) and not _NUMERIC.match(value):
+        return value
     try:
         number = Decimal(str(value).strip())
         if number.is_finite() and -400 < number.adjusted() < 400:
@@ -91,6 +98,8 @@ def content_type(value: object) -> str:
     if kind in ("object", "array"):
         return "string"
     if kind == "string":
+        if not _NUMERIC.match(value):
+            return "string"
         try:
             number = Decimal(str(value).strip())
         except InvalidOperation:
@@ -137,12 +146,13 @@ def normal_records(records: DataFrame) -> DataFrame:
 
 def _facts(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for part in parts:
-        seen: Counter = Counter()
+        files: dict[tuple, Counter] = {}
         for *file, payload in zip(*(part[c] for c in FILE), part["payload"]):
+            seen = files.setdefault(tuple(file), Counter())
             for field, value in parsed(payload).items():
-                kind = "null" if value == "" else json_type(value)
-                seen[(*file, field, kind, content_type(value))] += 1
-        yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=[*FILE, "field", "kind", "content_kind", "n"])
+                seen[field, "null" if value == "" else json_type(value), content_type(value)] += 1
+        rows = [(*file, *what, n) for file, seen in files.items() for what, n in seen.items()]
+        yield pd.DataFrame(rows, columns=[*FILE, "field", "kind", "content_kind", "n"])
 
 
 def file_facts(records: DataFrame) -> DataFrame:
@@ -198,9 +208,11 @@ def rename_evidence(records: DataFrame, files: DataFrame, suspects: DataFrame, s
     for r in schema_rows:
         registered.setdefault(r[0], set()).add(r[1])
     keyed = records.join(files, FILE).select("source_name", "channel", "place", record_key(schema_rows).alias("record_key"), "payload").filter("record_key IS NOT NULL")
-    once = keyed.groupBy("source_name", "channel", "place", "record_key").agg(F.min("payload").alias("payload"))
-    places = suspects.select("channel", "place").distinct()
-    places = small_side(cut(places))
+    places = small_side(cut(suspects.select("channel", "place").distinct()))
+    # the records of suspected files and of those before them, once
+    around = places.select("channel", F.explode(F.array("place", F.col("place") - 1)).alias("place")).distinct()
+    near = keyed.join(small_side(around), ["channel", "place"], "left_semi")
+    once = cut(near.groupBy("source_name", "channel", "place", "record_key").agg(F.min("payload").alias("payload")))
     new = once.join(places, ["channel", "place"], "left_semi").withColumnRenamed("payload", "new")
     old = once.withColumn("place", F.col("place") + 1).join(places, ["channel", "place"], "left_semi").withColumnRenamed("payload", "old")
     both = new.join(old, ["source_name", "channel", "place", "record_key"]).select("source_name", "channel", "place", "old", "new")
