@@ -172,9 +172,12 @@ def lineage_faults_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    "WITH b AS (SELECT DISTINCT feed_code AS s, batchid AS b FROM daily_market WHERE feed_code IN ('NYA', 'LDN', 'TKY') AND batchid IS NOT NULL), k AS (SELECT b FROM b WHERE s = 'LDN' ORDER BY b LIMIT 1 OFFSET 2)"
-    " SELECT s AS source_name, min(b) + 1 AS batch, 'duplicate_batch' AS error_type FROM b WHERE s = 'NYA' GROUP BY s"
-    " UNION ALL SELECT 'LDN', b, 'batch_sequence_gap' FROM k UNION ALL SELECT s, max(b), 'batch_sequence_gap' FROM b WHERE s = 'TKY' GROUP BY s UNION ALL SELECT 'DOWN', NULL, 'source_unavailable'"
+    "WITH b AS (SELECT DISTINCT feed_code AS s, batchid AS b FROM daily_market WHERE feed_code IN ('NYA', 'LDN', 'TKY') AND batchid IS NOT NULL),"
+    " x AS (SELECT s, b, min(b) OVER (PARTITION BY s) AS low, max(b) OVER (PARTITION BY s) AS high FROM b),"
+    " sent AS (SELECT s, b, low, CASE WHEN s = 'TKY' AND b = high THEN -1 ELSE b END AS arrived FROM x WHERE NOT (s = 'LDN' AND b = low + 1)),"
+    " j AS (SELECT s, b, b - lag(b) OVER w > 1 OR arrived < lag(arrived) OVER w AS wrong FROM sent WINDOW w AS (PARTITION BY s ORDER BY b))"
+    " SELECT s AS source_name, b AS batch, 'batch_sequence_gap' AS error_type FROM j WHERE wrong"
+    " UNION ALL SELECT s, b, 'duplicate_batch' FROM sent WHERE s = 'NYA' AND b = low + 1 UNION ALL SELECT 'DOWN', NULL, 'source_unavailable'"
 )
 def config_faults_found(spark: SparkSession, d: str) -> DataFrame:
     """Batches sent twice, left out and sent early, and a source that does not answer."""
