@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeq.functions.scalars import canonical_id, entity_text, geo_score, signature
-from lakeq.session import cut
+from lakeq.session import cut, cut_in_loop
 
 EXACT, RULE, FUZZY, PROBABLE = 1.0, 0.95, 0.88, 0.82
 #: Below this ratio the segments of short texts would be empty.
@@ -77,18 +77,24 @@ def representatives(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def clusters(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """node, cluster (smallest node linked to it). Minimum labels spread and jump until none changes."""
-    both = cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(nodes.select(F.col(nodes.columns[0]).alias("node")).distinct().withColumn("cluster", F.col("node")))
-    while True:
-        heard = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("cluster").alias("low"))
-        spread = labels.join(heard.withColumnRenamed("a", "node"), "node", "left").select("node", "cluster", F.least("cluster", "low").alias("next"))
-        jump = spread.alias("s").join(labels.select(F.col("node").alias("next"), F.col("cluster").alias("far")), "next")
-        step = cut(jump.select("node", "cluster", F.least("next", "far").alias("next")))
-        moved = step.filter("next < cluster").limit(1).count()
-        labels = step.select("node", F.col("next").alias("cluster"))
-        if not moved:
-            return labels
+    """node, cluster (smallest node linked to it). Edges turn into stars around the smallest node, in few rounds.
+
+    Each round links the higher end of an edge to the lowest neighbour of the lower end (large star), then all lower
+    neighbours of a node to the lowest of them (small star); both keep what is linked. It ends when each node has one
+    lower neighbour at most and that has none.
+    """
+    links = cut_in_loop(edges.filter("a <> b").select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")).distinct())
+    while links.groupBy("high").count().filter("count > 1").limit(1).count() or links.join(links.select(F.col("low").alias("high")), "high", "left_semi").limit(1).count():
+        lower = links.select("high", F.col("low").alias("mid")).join(_lowest(links).withColumnRenamed("high", "mid"), "mid", "left")
+        large = cut_in_loop(lower.select("high", F.coalesce("lowest", "mid").alias("low")).distinct())
+        rest = large.join(_lowest(large), "high").filter("low > lowest").select(F.col("low").alias("high"), F.col("lowest").alias("low"))
+        links = cut_in_loop(_lowest(large).withColumnRenamed("lowest", "low").unionByName(rest).distinct())
+    named = nodes.select(F.col(nodes.columns[0]).alias("node")).distinct().join(links.withColumnRenamed("high", "node"), "node", "left")
+    return named.select("node", F.coalesce("low", "node").alias("cluster"))
+
+
+def _lowest(links: DataFrame) -> DataFrame:
+    return links.groupBy("high").agg(F.min("low").alias("lowest"))
 
 
 def fuzzy_classes(df: DataFrame, id_col: str, text_col: str, threshold: float = FUZZY) -> DataFrame:

@@ -60,6 +60,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_in_loop(df: DataFrame) -> DataFrame:
+    """``cut`` for what goes into its own next round: the estimate of its size, which a checkpoint keeps, is dropped.
+
+    Joins multiply estimates, so in a loop the digits of the estimate double each round until they fill the driver.
+    """
+    spark, done = df.sparkSession, cut(df)
+    return DataFrame(spark._jsparkSession.createDataFrame(done._jdf.toJavaRDD(), done._jdf.schema()), spark)
+
+
 def bounded_rows(df: DataFrame, limit: int, what: str) -> list:
     """Rows of a small metadata table on the driver; more than ``limit`` is an error, never a silent cut."""
     rows = df.limit(limit + 1).collect()

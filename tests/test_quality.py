@@ -116,6 +116,15 @@ def test_clusters_of_a_chain(spark):
     assert all(out[i] == 0 for i in range(20)) and out[31] == 30 and out[35] == 35
 
 
+def test_clusters_keep_their_size_estimate_short(spark):
+    order = list(range(20))
+    random.Random(4).shuffle(order)
+    edges = spark.createDataFrame(list(zip(order, order[1:])), "a long, b long")
+    out = entity.clusters(spark.range(21).toDF("n"), edges)
+    assert {r.node: r.cluster for r in out.collect()} == {n: 0 for n in range(20)} | {20: 20}
+    assert out._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 10**100
+
+
 def ratios(texts, threshold):
     from difflib import SequenceMatcher
 
