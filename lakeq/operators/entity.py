@@ -15,6 +15,8 @@ from lakeq.session import cut, cut_in_loop
 EXACT, RULE, FUZZY, PROBABLE = 1.0, 0.95, 0.88, 0.82
 #: Below this ratio the segments of short texts would be empty.
 LEAST_LIKENESS = 0.7
+#: Bits of the letters (in 32 groups) that a text has, and 32 higher of those it has twice. Each bit that differs between two texts is an unmatched letter.
+LETTER_BAG = "aggregate(split(text, ''), 0L, (m, c) -> m | shiftleft(1L, (ascii(c) & 31) + if((m & shiftleft(1L, ascii(c) & 31)) <> 0L, 32, 0)))"
 
 
 def resolve_exact(df: DataFrame, entity_type: str, source: str, id_col: str, exact: list[str], rule: list[str]) -> DataFrame:
@@ -45,28 +47,31 @@ def similar_texts(df: DataFrame, id_col: str, text_col: str, threshold: float =
     Equal texts are folded to one representative (smallest id) before any pairing. A ratio of ``threshold`` leaves at
     most k = (1 - threshold) * (both lengths) letters unmatched. So if the shorter text is cut into more than k
     segments, one of them stands unchanged in the longer text, the n-th of them moved by n places at most. Texts meet
-    by (length, number, letters) of a segment; what the edit distance rules out is dropped in the JVM, before the ratio.
+    by (length, number, letters) of a segment; what the letters' counts or the edit distance rule out is dropped in the
+    JVM, before the ratio. The number of unmatched letters is even or odd as the sum of the lengths is.
     """
     if threshold < LEAST_LIKENESS:
         raise ValueError(f"texts less alike than {LEAST_LIKENESS} share no segment for certain")
-    texts = representatives(df, id_col, text_col).withColumn("len", F.length("text"))
+    texts = representatives(df, id_col, text_col).withColumn("len", F.length("text")).withColumn("bag", F.expr(LETTER_BAG))
     longest = (2 - threshold) / threshold
     most = lambda c: F.floor((1 - threshold) * (c + F.floor(c * longest + 1e-9)) + 1e-9).cast("int")
     start = lambda n, parts, c: F.floor(n * c / parts).cast("int")
     indexed = texts.withColumn("parts", F.least(most(F.col("len")) + 1, F.col("len"))).withColumn("n", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     at, end = start(F.col("n"), F.col("parts"), F.col("len")), start(F.col("n") + 1, F.col("parts"), F.col("len"))
-    segments = indexed.select(F.col("rep").alias("ra"), F.col("text").alias("x"), "len", "n", F.substr("text", at + 1, end - at).alias("piece"))
+    segments = indexed.select(F.col("rep").alias("ra"), F.col("text").alias("x"), F.col("bag").alias("bag_x"), "len", "n", F.substr("text", at + 1, end - at).alias("piece"))
     shortest = F.ceil(F.col("len") / longest - 1e-9).cast("int")
     lengths = texts.withColumn("other", F.explode(F.sequence(F.greatest(shortest, F.lit(1)), F.col("len"))))
     numbered = lengths.withColumn("parts", F.least(most(F.col("other")) + 1, F.col("other"))).withColumn("n", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     p, q = start(F.col("n"), F.col("parts"), F.col("other")), start(F.col("n") + 1, F.col("parts"), F.col("other"))
     moved = numbered.withColumn("p", p).withColumn("size", q - p).withColumn("at", F.explode(F.sequence(F.greatest(F.col("p") - F.col("n"), F.lit(0)), F.col("p") + F.col("n"))))
     probes = moved.filter(F.col("at") + F.col("size") <= F.col("len")).select(
-        F.col("rep").alias("rb"), F.col("text").alias("y"), F.col("other").alias("len"), "n", F.substr("text", F.col("at") + 1, F.col("size")).alias("piece"), F.col("len").alias("len_y")
+        F.col("rep").alias("rb"), F.col("text").alias("y"), F.col("bag").alias("bag_y"), F.col("other").alias("len"), "n", F.substr("text", F.col("at") + 1, F.col("size")).alias("piece"), F.col("len").alias("len_y")
     ).distinct()
     met = segments.join(probes, ["len", "n", "piece"]).filter("len < len_y OR ra < rb").filter("ra <> rb")
-    room = F.floor((1 - threshold) * (F.col("len") + F.col("len_y")) + 1e-9)
-    near = met.filter(F.levenshtein("x", "y") <= room).select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"), "x", "y").dropDuplicates(["a", "b"])
+    both = F.col("len") + F.col("len_y")
+    most_unmatched = F.floor((1 - threshold) * both + 1e-9).cast("int")
+    room = most_unmatched - F.abs(most_unmatched - both) % 2
+    near = met.filter((F.bit_count(F.col("bag_x").bitwiseXOR(F.col("bag_y"))) <= room) & (F.levenshtein("x", "y") <= room)).select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"), "x", "y").dropDuplicates(["a", "b"])
     ordered = near.withColumn("ratio", F.greatest(similarity("x", "y"), similarity("y", "x")))
     return ordered.filter(F.col("ratio") >= threshold).select("a", "b", "ratio")
 
