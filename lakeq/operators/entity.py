@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeq.functions.scalars import canonical_id, entity_text, geo_score, signature
-from lakeq.session import cut, cut_in_loop
+from lakeq.session import cut, cut_unsized
 
 EXACT, RULE, FUZZY, PROBABLE = 1.0, 0.95, 0.88, 0.82
 #: Below this ratio the segments of short texts would be empty.
@@ -49,6 +49,9 @@ def similar_texts(df: DataFrame, id_col: str, text_col: str, threshold: float =
     segments, one of them stands unchanged in the longer text, the n-th of them moved by n places at most. Texts meet
     by (length, number, letters) of a segment; what the letters' counts or the edit distance rule out is dropped in the
     JVM, before the ratio. The number of unmatched letters is even or odd as the sum of the lengths is.
+
+    Estimates take no account of what an explode adds, which is some 60 rows a text here: the hint keeps Spark from
+    sending the pieces of a large table through the driver.
     """
     if threshold < LEAST_LIKENESS:
         raise ValueError(f"texts less alike than {LEAST_LIKENESS} share no segment for certain")
@@ -63,11 +66,10 @@ def similar_texts(df: DataFrame, id_col: str, text_col: str, threshold: float =
     lengths = texts.withColumn("other", F.explode(F.sequence(F.greatest(shortest, F.lit(1)), F.col("len"))))
     numbered = lengths.withColumn("parts", F.least(most(F.col("other")) + 1, F.col("other"))).withColumn("n", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     p, q = start(F.col("n"), F.col("parts"), F.col("other")), start(F.col("n") + 1, F.col("parts"), F.col("other"))
-    moved = numbered.withColumn("p", p).withColumn("size", q - p).withColumn("at", F.explode(F.sequence(F.greatest(F.col("p") - F.col("n"), F.lit(0)), F.col("p") + F.col("n"))))
-    probes = moved.filter(F.col("at") + F.col("size") <= F.col("len")).select(
-        F.col("rep").alias("rb"), F.col("text").alias("y"), F.col("bag").alias("bag_y"), F.col("other").alias("len"), "n", F.substr("text", F.col("at") + 1, F.col("size")).alias("piece"), F.col("len").alias("len_y")
-    ).distinct()
-    met = segments.join(probes, ["len", "n", "piece"]).filter("len < len_y OR ra < rb").filter("ra <> rb")
+    moved = numbered.withColumn("p", p).withColumn("size", q - p).withColumn("at", F.sequence(F.greatest(F.col("p") - F.col("n"), F.lit(0)), F.least(F.col("p") + F.col("n"), F.col("len") - F.col("size"))))
+    pieces = F.array_distinct(F.transform("at", lambda at: F.substr("text", at + 1, F.col("size"))))
+    probes = moved.select(F.col("rep").alias("rb"), F.col("text").alias("y"), F.col("bag").alias("bag_y"), F.col("other").alias("len"), "n", F.explode(pieces).alias("piece"), F.col("len").alias("len_y"))
+    met = segments.hint("merge").join(probes, ["len", "n", "piece"]).filter("len < len_y OR ra < rb").filter("ra <> rb")
     both = F.col("len") + F.col("len_y")
     most_unmatched = F.floor((1 - threshold) * both + 1e-9).cast("int")
     room = most_unmatched - F.abs(most_unmatched - both) % 2
@@ -88,12 +90,12 @@ def clusters(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     neighbours of a node to the lowest of them (small star); both keep what is linked. It ends when each node has one
     lower neighbour at most and that has none.
     """
-    links = cut_in_loop(edges.filter("a <> b").select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")).distinct())
+    links = cut_unsized(edges.filter("a <> b").select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")).distinct())
     while links.groupBy("high").count().filter("count > 1").limit(1).count() or links.join(links.select(F.col("low").alias("high")), "high", "left_semi").limit(1).count():
         lower = links.select("high", F.col("low").alias("mid")).join(_lowest(links).withColumnRenamed("high", "mid"), "mid", "left")
-        large = cut_in_loop(lower.select("high", F.coalesce("lowest", "mid").alias("low")).distinct())
+        large = cut_unsized(lower.select("high", F.coalesce("lowest", "mid").alias("low")).distinct())
         rest = large.join(_lowest(large), "high").filter("low > lowest").select(F.col("low").alias("high"), F.col("lowest").alias("low"))
-        links = cut_in_loop(_lowest(large).withColumnRenamed("lowest", "low").unionByName(rest).distinct())
+        links = cut_unsized(_lowest(large).withColumnRenamed("lowest", "low").unionByName(rest).distinct())
     named = nodes.select(F.col(nodes.columns[0]).alias("node")).distinct().join(links.withColumnRenamed("high", "node"), "node", "left")
     return named.select("node", F.coalesce("low", "node").alias("cluster"))
 
@@ -104,8 +106,8 @@ def _lowest(links: DataFrame) -> DataFrame:
 
 def fuzzy_classes(df: DataFrame, id_col: str, text_col: str, threshold: float = FUZZY) -> DataFrame:
     """id, class_id, links: every row with the class of its text and its number of alike other texts."""
-    texts = cut(representatives(df, id_col, text_col))
-    links = cut(similar_texts(df, id_col, text_col, threshold))
+    texts = cut_unsized(representatives(df, id_col, text_col))
+    links = cut_unsized(similar_texts(df, id_col, text_col, threshold))
     degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("links"))
     named = clusters(texts.select("rep"), links).withColumnRenamed("node", "rep")
     by_text = texts.join(named, "rep").join(degree, "rep", "left").select("text", "cluster", F.coalesce("links", F.lit(0)).alias("links"))

@@ -60,10 +60,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def cut_in_loop(df: DataFrame) -> DataFrame:
-    """``cut`` for what goes into its own next round: the estimate of its size, which a checkpoint keeps, is dropped.
+def cut_unsized(df: DataFrame) -> DataFrame:
+    """``cut`` without the estimate of the size, which a checkpoint keeps: only sizes that AQE has measured allow a broadcast.
 
-    Joins multiply estimates, so in a loop the digits of the estimate double each round until they fill the driver.
+    Estimates are of the compressed files and leave out what an explode adds. In a loop they must go because joins
+    multiply them, so that their digits double each round until they fill the driver.
     """
     spark, done = df.sparkSession, cut(df)
     return DataFrame(spark._jsparkSession.createDataFrame(done._jdf.toJavaRDD(), done._jdf.schema()), spark)

@@ -125,6 +125,14 @@ def test_clusters_keep_their_size_estimate_short(spark):
     assert out._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 10**100
 
 
+def test_pieces_of_texts_are_not_broadcast(spark, tmp_path):
+    """A table that looks small has many pieces, which the driver must not hold."""
+    spark.createDataFrame([(1, "Zenith Works"), (2, "Zenith Work"), (3, "Acme")], "id long, name string").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    for plan in (entity.similar_texts(df, "id", "name"), entity.fuzzy_classes(df, "id", "name")):
+        assert "Broadcast" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
 def ratios(texts, threshold):
     from difflib import SequenceMatcher
 
